@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import copies, lookalikes, packing, splits, tokenization
+from millrace.llm import copies, lookalikes, near_copies, packing, spans, splits, tokenization
 from millrace.runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,26 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("p1_found")
+def p1_found(spark, d):
+    return near_copies.found_pairs(table(spark, d, "synthetic_posts"))
+
+
+@query("p1_groups")
+def p1_groups(spark, d):
+    return near_copies.near_groups(table(spark, d, "synthetic_posts"))
+
+
+@query("p2_found")
+def p2_found(spark, d):
+    return spans.shared_stretches(table(spark, d, "synthetic_posts"))
+
+
+@query("p2_amounts")
+def p2_amounts(spark, d):
+    return spans.shared_amounts(table(spark, d, "synthetic_posts"))
+
+
 @query("p3_found")
 def p3_found(spark, d):
     return copies.found_copies(table(spark, d, "synthetic_posts"))
