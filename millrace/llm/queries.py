@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import copies, lookalikes, near_copies, packing, spans, splits, tokenization
+from millrace.llm import copies, languages, lookalikes, near_copies, packing, spans, splits, tokenization
 from millrace.runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +54,17 @@ def p3_kept(spark, d):
     return copies.collapse_copies(table(spark, d, "synthetic_posts"), "source_row")
 
 
+@query("p4_found")
+def p4_found(spark, d):
+    return languages.found_cases(table(spark, d, "synthetic_posts"))
+
+
+@query("p4_segments")
+def p4_segments(spark, d):
+    out = languages.detect(table(spark, d, "synthetic_posts"))
+    return out.select("post_id", "segment_no", "lang", F.round("confidence", 6).alias("confidence")).distinct()
+
+
 @query("p6_found")
 def p6_found(spark, d):
     return splits.found_groups(table(spark, d, "synthetic_posts"))
