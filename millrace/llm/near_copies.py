@@ -6,7 +6,8 @@ shingle's hash. The distance of a text to a pivot is the pivot's size plus ``n -
 the deviations of ``inside`` from ``n / 2`` is a table of distances, and by the triangle inequality twice the largest
 difference of two texts' deviations is at most their own distance. A pair of the wanted similarity has a distance of at
 most ``(1 - J) / (1 + J)`` times the sum of the sizes, so pairs with a larger coordinate difference are discarded
-without loss; the survivors are verified on their whole texts.
+without loss; the survivors are verified, first on their own fingerprints (the parities of their shingles in 128 cells,
+whose Hamming distance is at most the texts' distance), then on their whole texts.
 
 A table of distances alone would have to be compared pair by pair. Pairs are therefore formed only where texts meet in
 their rarest shingles (prefix filtering, also without loss): two texts of the wanted similarity share one of the
@@ -69,6 +70,14 @@ def _prefixes(batch_texts: list[str], sketch: np.ndarray, seen: set[int], settin
         inside = total[first[1:]] - total[first[:-1]]
         deviation = np.clip(np.floor(inside - size / 2) + 128, 0, 255).astype(np.uint64)
         table |= deviation << np.uint64(8 * p)
+    # Fingerprint: the parity of the text's shingles in each of 128 cells, as two words.
+    prints = np.zeros((2, len(batch_texts)), dtype=np.uint64)
+    full = np.flatnonzero(size)
+    if len(full):
+        bit = np.uint64(1) << (value & np.uint64(63))
+        upper = ((value >> np.uint64(6)) & np.uint64(1)).astype(bool)
+        for half in (0, 1):
+            prints[half][full] = np.bitwise_xor.reduceat(np.where(upper == bool(half), bit, np.uint64(0)), first[full])
     level = sketch[(value & np.uint64(len(sketch) - 1)).astype(np.int64)]
     order = np.lexsort((value, level, doc))
     doc, value, level = doc[order], value[order], level[order]
@@ -88,7 +97,8 @@ def _prefixes(batch_texts: list[str], sketch: np.ndarray, seen: set[int], settin
         owner.append(doc[a])
     k, o = np.concatenate(keys), np.concatenate(owner)
     return pa.RecordBatch.from_arrays(
-        [_signed(k), _signed(key[o]), pa.array(size[o].astype(np.int32)), _signed(table[o])], names=["k", "c", "n", "t"]
+        [_signed(k), _signed(key[o]), pa.array(size[o].astype(np.int32)), _signed(table[o]), *[_signed(x[o]) for x in prints]],
+        names=["k", "c", "n", "t", "f", "g"],
     )
 
 
@@ -113,14 +123,15 @@ def candidate_classes(posts: DataFrame, setting: tuple, text: str = "text") -> D
         for batch in batches:
             yield _prefixes(texts_of(batch.column(0)), table, seen, setting)
 
-    sent = column.mapInArrow(run, "k bigint, c bigint, n int, t bigint").repartition("k")
-    sent = sent.groupBy("k", "c").agg(F.first("n").alias("n"), F.first("t").alias("t"))
-    a = sent.select("k", F.col("c").alias("ca"), F.col("n").alias("na"), F.col("t").alias("ta"))
-    b = sent.select("k", F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("t").alias("tb"))
+    sent = column.mapInArrow(run, "k bigint, c bigint, n int, t bigint, f bigint, g bigint").repartition("k")
+    sent = sent.groupBy("k", "c").agg(*[F.first(x).alias(x) for x in "ntfg"])
+    a, b = (sent.select("k", *[F.col(x).alias(x + side) for x in "cntfg"]) for side in "ab")
     # Distance at most (1 - J) / (1 + J) of the sizes' sum; the pivot of no shingles gives the difference of sizes.
     bound = (F.col("na") + F.col("nb")) * (down - up) / (down + up)
     far = F.greatest(*[F.abs(_coordinate("ta", p) - _coordinate("tb", p)) for p in range(PIVOTS)])
     near = (2 * far - 2 <= bound) & (F.abs(F.col("na") - F.col("nb")) <= bound)
+    apart = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) + F.bit_count(F.col("ga").bitwiseXOR(F.col("gb")))
+    near = near & (apart <= bound)
     return a.join(b, "k").where((F.col("ca") < F.col("cb")) & near).select("ca", "cb").distinct()
 
 
