@@ -4,12 +4,12 @@ Method: classification by compression. For each language a zstandard compressor
 language; a sentence belongs to the language whose dictionary makes it smallest. The confidence is the margin: the
 part of the second smallest size that the smallest saves. Sentences with a margin under ``MARGIN`` are rejected and
 take the language of the decided sentence before them, else of the one after; if no sentence of a text is decided, the
-text is tried as a whole, and where that is narrow too it has no language.
+text is tried as a whole, and where that is narrow too (under a fifth of ``MARGIN``) it has no language.
 
 The dictionaries are the only thing fitted: on a sample of about ``SAMPLE_ROWS`` labelled rows, chosen by the hash of
 their key over the whole table. Labels are wrong in part, so rows that the first dictionaries put elsewhere are left
-out of the second. A dictionary holds sentences of frequent words only, each bringing a pair of neighbours that the
-ones before it lack, up to ``DICTIONARY_BYTES``. Everything else runs over all rows and whole texts.
+out of the second. A dictionary holds sentences of frequent words only, each bringing a word or a pair of
+neighbours that the ones before it lack, up to ``DICTIONARY_BYTES``. Everything else runs over all rows and whole texts.
 
 Defined results: null texts and texts with fewer than ``LEAST_WORDS`` words outside links, mentions and hashtags get no
 language; a table without readable labels gives no languages at all; repeated deliveries of a post count once.
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from millrace.functions.text import strip
 
 #: Rows of the labelled sample, bytes of a dictionary, compression level, least margin, least words of a text.
-SAMPLE_ROWS, DICTIONARY_BYTES, LEVEL, MARGIN, LEAST_WORDS = 20_000, 131_072, 3, 0.05, 5
+SAMPLE_ROWS, DICTIONARY_BYTES, LEVEL, MARGIN, LEAST_WORDS = 20_000, 131_072, 1, 0.05, 5
 #: A word is frequent in a language's sample from this many texts on, and from one in so many texts.
-FREQUENT, ONE_IN = 3, 400
+FREQUENT, ONE_IN = 3, 2000
 #: A word belongs to a language if its share there is at least this part of its largest share in any.
 OWN = 0.5
 
@@ -48,7 +48,8 @@ NAMES = {
 CODES = {name: code for code, names in NAMES.items() for name in names.split()}
 
 JUNK = re.compile(r"https?://\S+|www\.\S+|(?<!\w)[@#]\w+|&\w+;", re.IGNORECASE)
-SENTENCE = re.compile(r"(?<=[.!?…])[\"»”’)\]]*\s+|[\r\n]+")
+MARKS = ("@", "#", "&", "://", "www.", "WWW.")  # without any of these there is no junk
+SENTENCE = re.compile(r"(?<=[.!?…])[\"»”’)\]]*\s+")
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 COUNTED = re.compile(r"[^\W_]+")
 
@@ -81,21 +82,26 @@ def own_words(samples: dict[str, list[str]]) -> dict[str, set[str]]:
 
 
 def dense_dictionary(texts: list[str], words: set[str], size: int = DICTIONARY_BYTES) -> bytes:
-    """Sentences cut to the given words, each with a new pair of neighbours; the earliest stand last, nearest to the
-    text that is compressed."""
-    seen: set[tuple[str, str]] = set()
-    parts, n = [], 0
+    """Sentences cut to the given words: those with a new word, and before them, as far as there is room, those with a
+    new pair of neighbours. The earliest stand last, nearest to the text that is compressed."""
+    seen: set = set()
+    with_word: list[bytes] = []
+    with_pair: list[bytes] = []
     for t in texts:
         for sentence in SENTENCE.split(t):
             kept = [w for w in WORD.findall(sentence) if w in words]
-            pairs = set(zip(kept, kept[1:]))
-            if pairs - seen:
-                seen |= pairs
-                parts.append(" ".join(kept).encode("utf-8", "replace"))
-                n += len(parts[-1]) + 1
-        if n >= size:
+            pairs = set(zip(kept, kept[1:])) - seen
+            fresh = set(kept) - seen
+            if fresh or pairs:
+                seen |= fresh | pairs
+                (with_word if fresh else with_pair).append(" ".join(kept).encode("utf-8", "replace"))
+    room = size - sum(len(x) + 1 for x in with_word)
+    for i, x in enumerate(with_pair):
+        room -= len(x) + 1
+        if room < 0:
+            with_pair = with_pair[:i]
             break
-    return b" ".join(reversed(parts))[-size:]
+    return b" ".join([*reversed(with_pair), *reversed(with_word)])[-size:]
 
 
 def dictionaries_of(samples: dict[str, list[str]]) -> dict[str, bytes]:
@@ -116,11 +122,15 @@ class Compressors:
             c = z.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
             self.made.append((code, c.compress))
 
+        # A dictionary without a Latin letter saves nothing on ASCII words, which can't hold one of its letters.
+        self.latin = [x for x in self.made if re.search(rb"[a-z]", dictionaries[x[0]])]
+
     def decide(self, words: list[str]) -> tuple[str | None, float]:
         """The language with the smallest size and its margin over the second."""
-        data = " ".join(words).encode("utf-8", "replace")
+        joined = " ".join(words)
+        data = joined.encode("utf-8", "replace")
         best, low, second = None, 1 << 60, 1 << 60
-        for code, compress in self.made:
+        for code, compress in self.latin if joined.isascii() else self.made:
             n = len(compress(data))
             if n < low:
                 best, low, second = code, n, low
@@ -130,14 +140,18 @@ class Compressors:
 
     def segments(self, text: str) -> list[tuple[str, float, str]]:
         """(language, confidence, text) of every longest run of whole sentences of one language."""
+        odd = any(mark in text for mark in MARKS)
+        words_of = lambda s: WORD.findall((JUNK.sub(" ", s) if odd else s).lower())
         sentences = [s for s in SENTENCE.split(text) if s and s.strip()]
         found: list[tuple[str | None, float, int]] = []
         for s in sentences:
-            words = WORD.findall(JUNK.sub(" ", s).lower())
+            words = words_of(s)
             code, margin = self.decide(words) if len(words) > 1 else (None, 0.0)
             found.append((code if margin >= MARGIN else None, margin, len(words)))
+        if sum(n for _, _, n in found) < LEAST_WORDS and len(COUNTED.findall(JUNK.sub(" ", text))) < LEAST_WORDS:
+            return []
         if not any(code for code, _, _ in found):
-            code, margin = self.decide(WORD.findall(JUNK.sub(" ", text).lower()))
+            code, margin = self.decide(words_of(text))
             return [(code, margin, text.strip())] if code and margin >= MARGIN / 5 else []
         current = next(code for code, _, _ in found if code)
         runs: list[list] = []
@@ -186,8 +200,6 @@ def detect(rows: DataFrame, key: str = "post_id", text: str = "text", label: str
         for batch in batches:
             at, count, no, langs, sure, parts = [], [], [], [], [], []
             for i, t in enumerate(batch.column(2).to_pylist()):
-                if len(COUNTED.findall(JUNK.sub(" ", t))) < LEAST_WORDS:
-                    continue
                 found = compressors.segments(t)
                 for j, (code, margin, part) in enumerate(found, 1):
                     at.append(i)
