@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import schema_drift, timestamps
+from millrace.functions import text as text_fn
+from millrace.operators import dedup, filters, labels, normalise, overlap, prompts, schema_drift, stylometry, temporal_split, timestamps
 from millrace.runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +48,460 @@ def p7_found(spark, d):
 @query("p7_instants")
 def p7_instants(spark, d):
     return timestamps.normalise_timestamps(table(spark, d, "synthetic_posts"), table(spark, d, "feeds"))
+
+
+# --- the corpus engine's own operators -------------------------------------------------------------------------------
+
+# SQL fragments shared by the comparison statements.
+_FOLD = "replace(replace(lower({0}), 'ß', 'ss'), 'ς', 'σ')"
+_TOKENS = "regexp_extract_all(" + _FOLD + r", '[\p{L}\p{N}_'']+|[!?]+')"
+_STRIP = r"regexp_replace({0}, '^[\s\x{{85}}\x{{1c}}-\x{{1f}}\x{{0b}}\p{{Z}}]+|[\s\x{{85}}\x{{1c}}-\x{{1f}}\x{{0b}}\p{{Z}}]+$', '', 'g')"
+
+
+def _t(expression: str) -> str:
+    return _TOKENS.replace("{0}", expression)
+
+
+def _strip_sql(expression: str) -> str:
+    return _STRIP.replace("{{", "{").replace("}}", "}").replace("{0}", expression)
+
+
+@query("doc_tokens", f"SELECT doc_id, CAST(len({_t('text')}) AS BIGINT) AS n_tokens, array_to_string({_t('text')}, ' ') AS fingerprint FROM documents WHERE text IS NOT NULL")
+def doc_tokens(spark, d):
+    docs = table(spark, d, "documents").where("text is not null")
+    toks = text_fn.tokens(F.col("text"))
+    return docs.select("doc_id", F.size(toks).cast("bigint").alias("n_tokens"), F.array_join(toks, " ").alias("fingerprint"))
+
+
+_EXACT = f"""
+WITH f AS (SELECT doc_id, array_to_string({_t('text')}, ' ') AS fp FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CASE WHEN first <> doc_id THEN first END AS duplicate_of
+FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY fp) AS first FROM f)"""
+
+
+@query("exact_dedup", _EXACT)
+def exact_dedup(spark, d):
+    return dedup.exact_duplicates(table(spark, d, "documents"), "doc_id", "doc_id")
+
+
+@query("exact_dedup_counts", f"SELECT count(*) AS n_rows, count(*) FILTER (WHERE duplicate_of IS NULL) AS n_kept, count(duplicate_of) AS n_rejected FROM ({_EXACT})")
+def exact_dedup_counts(spark, d):
+    out = dedup.exact_duplicates(table(spark, d, "documents"), "doc_id", "doc_id")
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("duplicate_of").isNull()).alias("n_kept"), F.count("duplicate_of").alias("n_rejected"))
+
+
+_H = r"[ \t\x{0b}\x{0c}\r\x{1c}-\x{1f}\x{85}\p{Z}]*"
+_SQUEEZE = _strip_sql(
+    "regexp_replace("
+    + _strip_sql(
+        "regexp_replace(regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '[ \\t\\x{0b}\\x{0c}]+', ' ', 'g'), '"
+        + _H
+        + "\\n"
+        + _H
+        + "', chr(10), 'g')"
+    )
+    + ", '\\n{3,}', chr(10) || chr(10), 'g')"
+)
+
+
+@query("squeeze_space", f"SELECT doc_id, {_SQUEEZE} AS squeezed FROM documents")
+def squeeze_space(spark, d):
+    return table(spark, d, "documents").select("doc_id", text_fn.squeeze_space(F.col("text")).alias("squeezed"))
+
+
+@query("normalise_text")
+def normalise_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", text_fn.normalise_text(F.col("text")).alias("text_train"))
+
+
+_URL_SQL = r"regexp_replace(text, '(?i)https?://[^\s\x{0b}\x{85}\x{1c}-\x{1f}\p{Z}]+', '<URL>', 'g')"
+
+
+@query(
+    "placeholders",
+    rf"SELECT source_row, {_URL_SQL} AS no_urls, regexp_replace({_URL_SQL}, '(^|[^\p{{L}}\p{{N}}_])@[A-Za-z0-9_]+', '\1<USER>', 'g') AS no_handles FROM synthetic_posts",
+)
+def placeholders(spark, d):
+    urls = text_fn.replace_urls(F.col("text"))
+    return table(spark, d, "synthetic_posts").select("source_row", urls.alias("no_urls"), text_fn.replace_mentions(urls).alias("no_handles"))
+
+
+_TEXT_TRAIN = r"regexp_replace(" + _URL_SQL + r", '(^|[^\p{L}\p{N}_])@[A-Za-z0-9_]+', '\1<USER>', 'g')"
+_REASON = rf"""
+SELECT source_row, CASE
+  WHEN NOT coalesce(lower({_strip_sql('lang')}) IN ('en', 'de'), false) THEN 'language_not_allowed:' || coalesce(lower({_strip_sql('lang')}), '')
+  WHEN list_contains(refs, 'quoted') THEN 'reference_type_excluded:quoted'
+  WHEN list_contains(refs, 'retweeted') THEN 'reference_type_excluded:retweeted'
+  WHEN coalesce(length({_strip_sql(_TEXT_TRAIN)}), 0) < 12 THEN 'text_too_short'
+  WHEN regexp_full_match({_strip_sql('text')}, '(?i)(https?://[^\s\x{{0b}}\x{{85}}\x{{1c}}-\x{{1f}}\p{{Z}}]+[\s\x{{0b}}\x{{85}}\x{{1c}}-\x{{1f}}\p{{Z}}]*)+') THEN 'link_only' END AS reason
+FROM (SELECT *, list_transform(reference_types, lambda x: lower(x)) AS refs FROM synthetic_posts)"""
+
+
+def _rejects(spark, d):
+    posts = table(spark, d, "synthetic_posts").withColumns(
+        {
+            "lang": F.lower(text_fn.strip(F.col("lang"))),
+            "reference_types": F.transform("reference_types", lambda x: F.lower(x)),
+            "text_train": text_fn.replace_mentions(text_fn.replace_urls(F.col("text"))),
+        }
+    )
+    reason = filters.reject_reason(["en", "de"], [], ["retweeted", "quoted"], 12, "text_train", "text")
+    return posts.select("source_row", reason.alias("reason"))
+
+
+@query("reject_reasons", _REASON)
+def reject_reasons(spark, d):
+    return _rejects(spark, d)
+
+
+@query("stage_counts", f"SELECT 'source' AS stage, count(*) AS n FROM synthetic_posts UNION ALL SELECT 'kept', count(*) FROM ({_REASON}) WHERE reason IS NULL UNION ALL SELECT 'rejected', count(*) FROM ({_REASON}) WHERE reason IS NOT NULL")
+def stage_counts(spark, d):
+    out = _rejects(spark, d)
+    kept, rejected = filters.split_by_reason(out)
+    return filters.stage_counts({"source": table(spark, d, "synthetic_posts"), "kept": kept, "rejected": rejected})
+
+
+def _hits(k: str) -> str:
+    return f"CAST((length(l) - length(replace(l, '{k}', ''))) / {len(k)} AS INT)"
+
+
+_SCORES = ", ".join(f"{{'score': {' + '.join(_hits(k) for k in keys)}, 'topic': '{name}'}}" for name, keys in labels.TOPICS.items())
+_INTENT = " ".join("WHEN " + " OR ".join(f"contains(l, '{w}')" for w in words) + f" THEN '{name}'" for name, words in labels.INTENTS.items())
+_LETTERS, _UPPERS = (rf"length(regexp_extract_all(text, '\p{{{c}}}'))" for c in ("L", "Lu"))
+
+
+def _word_in(words: str) -> str:
+    return r"regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])(" + words + r")([^\p{L}\p{N}_]|$)')"
+
+
+_LABELS = rf"""
+SELECT doc_id,
+  CASE WHEN best.score > 0 THEN best.topic ELSE 'other' END AS topic,
+  CASE {_INTENT} WHEN contains(text, '?') THEN 'question_or_challenge' ELSE 'comment' END AS intent,
+  coalesce(nullif(concat_ws(',', CASE WHEN contains(text, '!') THEN 'emphatic' END, CASE WHEN contains(text, '?') THEN 'rhetorical' END,
+    CASE WHEN {_LETTERS} > 0 AND {_UPPERS} / {_LETTERS} >= 0.15 THEN 'uppercase_emphasis' END,
+    CASE WHEN {_word_in(labels.INTENSIFIERS)} THEN 'intensifier' END,
+    CASE WHEN {_word_in(labels.CONFRONTING)} THEN 'confrontational' END), ''), 'neutral') AS tone_tags,
+  CASE WHEN words <= 8 THEN 'very_short' WHEN words <= 20 THEN 'short' WHEN words <= 40 THEN 'medium' ELSE 'long' END AS length_bucket,
+  strftime(created_at AT TIME ZONE 'UTC', '%Y-%m') AS period_bucket
+FROM (SELECT *, list_max([{_SCORES}]) AS best FROM (
+  SELECT *, lower(text) AS l, length(regexp_extract_all(text, '[^\s\x{{0b}}\x{{85}}\x{{1c}}-\x{{1f}}\p{{Z}}]+')) AS words FROM documents WHERE text IS NOT NULL))"""
+
+
+@query("labels", _LABELS)
+def label_documents(spark, d):
+    docs = table(spark, d, "documents").where("text is not null").withColumn("created", normalise.render_time(F.col("created_at")))
+    out = docs.select("doc_id", *[c.alias(n) for n, c in labels.label_columns("text", "created").items()])
+    return out.withColumn("tone_tags", F.array_join("tone_tags", ","))
+
+
+def _count(pattern: str) -> str:
+    return f"length(regexp_extract_all(text, '{pattern}'))"
+
+
+_W = r"\p{L}\p{N}_"
+_FEATURES = {
+    "characters": "CAST(length(text) AS DOUBLE)",
+    "words": f"CAST({_count('[' + _W + chr(39) * 2 + ']+')} AS DOUBLE)",
+    "sentences": f"CAST(greatest(1, {_count('[.!?]+')}) AS DOUBLE)",
+    "uppercase_ratio": f"CASE WHEN {_LETTERS} > 0 THEN {_UPPERS} / {_LETTERS} ELSE 0.0 END",
+    "exclamations_per_100_chars": f"{_count('!')} * 100.0 / greatest(1, length(text))",
+    "questions_per_100_chars": f"{_count('[?]')} * 100.0 / greatest(1, length(text))",
+    "hashtags_per_post": f"CAST({_count('(?:^|[^' + _W + '])#[' + _W + ']+')} AS DOUBLE)",
+    "mentions_per_post": f"CAST({_count('(?:^|[^' + _W + '])@[' + _W + ']+')} AS DOUBLE)",
+    "repeated_punctuation_per_post": f"CAST({_count('!!+|[?][?]+')} AS DOUBLE)",
+}
+_FEATURE_LIST = ", ".join(f"round({x}, 6) AS {n}" for n, x in _FEATURES.items())
+_PROFILE_LIST = ", ".join(f"round(avg({x}), 6) AS {n}" for n, x in _FEATURES.items())
+
+
+@query("style_features", f"SELECT doc_id, {_FEATURE_LIST} FROM documents WHERE text IS NOT NULL")
+def style_features(spark, d):
+    docs = table(spark, d, "documents").where("text is not null")
+    return docs.select("doc_id", *[F.round(c, 6).alias(n) for n, c in stylometry.style_features(F.col("text")).items()])
+
+
+@query("style_profile", f"SELECT source, {_PROFILE_LIST} FROM documents WHERE text IS NOT NULL GROUP BY source")
+def style_profile(spark, d):
+    out = stylometry.corpus_profile(table(spark, d, "documents"), by=["source"])
+    return out.select("source", *[F.round(n, 6).alias(n) for n in stylometry.SCALES])
+
+
+_RAW_PROFILE = ", ".join(f"avg({x}) AS {n}" for n, x in _FEATURES.items())
+_DISTANCE = " + ".join(f"least(3.0, abs(a.{n} - b.{n}) / {s})" for n, s in stylometry.SCALES.items())
+_DISTANCE_SQL = f"SELECT round(({_DISTANCE}) / {len(stylometry.SCALES)}, 6) AS distance FROM (SELECT {_RAW_PROFILE} FROM synthetic_posts WHERE text IS NOT NULL) a, (SELECT {_RAW_PROFILE} FROM documents WHERE text IS NOT NULL) b"
+
+
+@query("style_distance", _DISTANCE_SQL)
+def style_distance(spark, d):
+    a, b = (stylometry.corpus_profile(table(spark, d, t)) for t in ("synthetic_posts", "documents"))
+    return stylometry.profile_distance(a, b).select(F.round("distance", 6).alias("distance"))
+
+
+def _gram_sql(n: int, name: str) -> str:
+    return (
+        f"SELECT unnest(list_transform(range(1, len(t) - {n} + 2), lambda i: array_to_string(t[i:i + {n} - 1], ' '))) AS g "
+        f"FROM (SELECT {_t('text')} AS t FROM {name} WHERE text IS NOT NULL)"
+    )
+
+
+_DISTINCT = " UNION ALL ".join(
+    f"SELECT {n} AS n, count(*) AS n_total, count(DISTINCT g) AS n_distinct, round(CASE WHEN count(*) > 0 THEN count(DISTINCT g) / count(*) ELSE 0 END, 6) AS ratio FROM ({_gram_sql(n, 'documents')})"
+    for n in (2, 3)
+)
+
+
+@query("distinct_n", _DISTINCT)
+def distinct_n(spark, d):
+    return stylometry.distinct_n(table(spark, d, "documents")).withColumn("ratio", F.round("ratio", 6))
+
+
+_SHINGLES = f"""
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(t) = 0 THEN ['<EMPTY>'] WHEN len(t) < 3 THEN [array_to_string(t, ' ')]
+        ELSE list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], ' ')) END) AS g
+      FROM (SELECT doc_id, {_t('text')} AS t FROM documents WHERE text IS NOT NULL)),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS h FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared, any_value(a.n + b.n) - count(*) AS either
+      FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL
+      HAVING count(*) >= 0.72 * (any_value(a.n + b.n) - count(*)))"""
+
+
+@query("near_dup_pairs", f"WITH {_SHINGLES} SELECT a, b, shared, CAST(either AS BIGINT) AS \"either\" FROM p")
+def near_dup_pairs(spark, d):
+    return dedup.near_pairs(table(spark, d, "documents"), "doc_id").withColumn("either", F.col("either").cast("bigint"))
+
+
+_CLUSTERS = f"""
+WITH RECURSIVE {_SHINGLES},
+edge AS (SELECT a AS u, b AS v FROM p UNION SELECT b, a FROM p),
+reach(u, v) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.u, edge.v FROM reach r JOIN edge ON r.v = edge.u),
+comp AS (SELECT u AS doc_id, min(v) AS c FROM reach GROUP BY u),
+named AS (SELECT c, substr(sha256(string_agg(CAST(doc_id AS VARCHAR), chr(0) ORDER BY CAST(doc_id AS VARCHAR))), 1, 16) AS cluster_id, count(*) AS cluster_size FROM comp GROUP BY c),
+clustered AS (SELECT doc_id, cluster_id, cluster_size FROM comp JOIN named USING (c))"""
+
+
+@query("near_dup_clusters", f"{_CLUSTERS} SELECT * FROM clustered")
+def near_dup_clusters(spark, d):
+    return dedup.near_clusters(table(spark, d, "documents"), "doc_id")
+
+
+@query(
+    "near_dup_cap",
+    f"""{_CLUSTERS}, placed AS (SELECT c.doc_id, cluster_id, cluster_size, row_number() OVER (PARTITION BY cluster_id ORDER BY created_at, c.doc_id) - 1 AS pos FROM clustered c JOIN documents d ON c.doc_id = d.doc_id)
+SELECT doc_id, cluster_id, cluster_size <= 3 OR pos IN (0, cluster_size - 1, CAST(round_even((cluster_size - 1) / 2, 0) AS BIGINT)) AS kept FROM placed""",
+)
+def near_dup_cap(spark, d):
+    docs = table(spark, d, "documents")
+    out = dedup.near_clusters(docs, "doc_id").join(docs.select("doc_id", "created_at"), "doc_id")
+    return dedup.cap_clusters(out, "doc_id", "created_at").select("doc_id", "cluster_id", "kept")
+
+
+@query("near_dup_lsh")
+def near_dup_lsh(spark, d):
+    return dedup.lsh_pairs(table(spark, d, "documents"), "doc_id").select("a", "b")
+
+
+def _grams_sql(side: str, name: str, key: str) -> str:
+    return f"""
+g{side} AS (SELECT id, t, list_transform(CASE WHEN len(t) = 0 THEN []::BIGINT[] ELSE range(1, greatest(len(t) - 4, 1) + 1) END, lambda i: array_to_string(t[i:i + 4], ' ')) AS g
+  FROM (SELECT {key} AS id, {_t('text')} AS t FROM {name} WHERE text IS NOT NULL)),
+x{side} AS (SELECT id, unnest(range(1, len(g) + 1)) AS p, unnest(g) AS h FROM g{side}),
+n{side} AS (SELECT id, array_to_string(t, ' ') AS whole, len(t) AS tokens, len(list_distinct(g)) AS grams FROM g{side})"""
+
+
+_OVERLAP = f"""
+WITH {_grams_sql('a', 'synthetic_posts', 'source_row')}, {_grams_sql('b', 'documents', 'doc_id')},
+hit AS (SELECT xa.id AS gen, xb.id AS train, xa.p AS i, xa.p - xb.p AS d, xa.h FROM xa JOIN xb ON xa.h = xb.h),
+shared AS (SELECT gen, train, count(DISTINCT h) AS k FROM hit GROUP BY ALL),
+run AS (SELECT gen, train, max(n) AS run FROM (SELECT gen, train, d, i - r AS k, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY gen, train, d ORDER BY i) AS r FROM hit) GROUP BY ALL) GROUP BY ALL),
+same AS (SELECT na.id AS gen, nb.id AS train FROM na JOIN nb ON na.whole = nb.whole),
+cand AS (SELECT gen, train FROM shared UNION SELECT gen, train FROM same),
+m AS (SELECT c.gen, c.train, same.gen IS NOT NULL AS exact,
+  CAST(CASE WHEN same.gen IS NOT NULL THEN na.tokens WHEN least(na.tokens, nb.tokens) < 5 THEN least(na.tokens, nb.tokens) ELSE run + 4 END AS BIGINT) AS span,
+  CASE WHEN na.grams + nb.grams - coalesce(k, 0) > 0 THEN coalesce(k, 0) / (na.grams + nb.grams - coalesce(k, 0)) ELSE 1.0 END AS jaccard
+  FROM cand c LEFT JOIN shared s ON c.gen = s.gen AND c.train = s.train LEFT JOIN run r ON c.gen = r.gen AND c.train = r.train
+  LEFT JOIN same ON c.gen = same.gen AND c.train = same.train JOIN na ON na.id = c.gen JOIN nb ON nb.id = c.train),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gen ORDER BY exact DESC, span DESC, jaccard DESC, train) AS r FROM m) WHERE r = 1),
+matched AS (SELECT na.id AS gen, train, coalesce(exact, false) AS exact, coalesce(span, 0) AS span, coalesce(jaccard, 0.0) AS jaccard FROM na LEFT JOIN best ON best.gen = na.id),
+total AS (SELECT count(*) AS generated_count, count(*) FILTER (WHERE exact) AS exact_match_count, count(*) FILTER (WHERE f) AS flagged_count, avg(CAST(f AS INT)) AS flagged_rate, max(span) AS max_span, max(jaccard) AS max_jaccard
+  FROM (SELECT *, exact OR span >= 20 OR jaccard >= 0.5 AS f FROM matched))"""
+
+
+def _candidates(spark, d):
+    return overlap.overlap_candidates(table(spark, d, "synthetic_posts"), table(spark, d, "documents"), "source_row", "doc_id")
+
+
+def _matches(spark, d):
+    return overlap.best_matches(table(spark, d, "synthetic_posts"), _candidates(spark, d), "source_row")
+
+
+@query("overlap_candidates", f"{_OVERLAP} SELECT gen, train, exact, span, round(jaccard, 6) AS jaccard FROM m")
+def overlap_candidates(spark, d):
+    return _candidates(spark, d).select("gen", "train", "exact", "span", F.round("jaccard", 6).alias("jaccard"))
+
+
+@query("overlap_best_match", f"{_OVERLAP} SELECT gen, train, exact, span, round(jaccard, 6) AS jaccard FROM matched")
+def overlap_best_match(spark, d):
+    return _matches(spark, d).withColumn("jaccard", F.round("jaccard", 6))
+
+
+@query("overlap_summary", f"{_OVERLAP} SELECT generated_count, exact_match_count, flagged_count, round(flagged_rate, 6) AS flagged_rate, max_span, round(max_jaccard, 6) AS max_jaccard FROM total")
+def overlap_summary(spark, d):
+    out = overlap.overlap_summary(_matches(spark, d))
+    return out.withColumns({c: F.round(c, 6) for c in ("flagged_rate", "max_jaccard")})
+
+
+def _metrics(spark, d):
+    summary = overlap.overlap_summary(_matches(spark, d))
+    posts, docs = table(spark, d, "synthetic_posts"), table(spark, d, "documents")
+    distance = stylometry.profile_distance(stylometry.corpus_profile(posts), stylometry.corpus_profile(docs))
+    two = stylometry.distinct_n(posts, (2,)).select(F.col("ratio").alias("distinct_2"))
+    one = F.lit(1)
+    frames = [x.withColumn("_one", one) for x in (summary, distance, two)]
+    return frames[0].join(frames[1], "_one").join(frames[2], "_one").drop("_one")
+
+
+_TWO = f"SELECT count(DISTINCT g) / count(*) AS distinct_2 FROM ({_gram_sql(2, 'synthetic_posts')})"
+
+
+@query(
+    "evaluation_gate",
+    f"""{_OVERLAP}, dist AS ({_DISTANCE_SQL}), two AS ({_TWO}),
+c AS (SELECT distance <= 0.45 AS ok_distance, distinct_2 >= 0.2 AS ok_distinct_2, flagged_rate <= 0.005 AS ok_flagged_rate, exact_match_count = 0 AS ok_exact FROM total, dist, two)
+SELECT *, ok_distance AND ok_distinct_2 AND ok_flagged_rate AND ok_exact AS passed FROM c""",
+)
+def evaluation_gate(spark, d):
+    return overlap.evaluation_gate(_metrics(spark, d))
+
+
+_LINKED = """
+WITH RECURSIVE r AS (SELECT doc_id, created_at, coalesce(nullif(author_id, ''), NULL) AS author_id, substr(text, 1, 40) AS opening FROM documents),
+k AS (SELECT doc_id, 'o' || opening AS key FROM r WHERE opening IS NOT NULL AND opening <> '' UNION ALL SELECT doc_id, 'a' || author_id FROM r WHERE author_id IS NOT NULL),
+f AS (SELECT key, min(doc_id) AS v FROM k GROUP BY key),
+edge AS (SELECT doc_id AS u, v FROM k JOIN f USING (key) UNION SELECT v, doc_id FROM k JOIN f USING (key)),
+reach(u, v) AS (SELECT doc_id, doc_id FROM r UNION SELECT reach.u, edge.v FROM reach JOIN edge ON reach.v = edge.u),
+grp AS (SELECT u AS doc_id, min(v) AS "group" FROM reach GROUP BY u),
+g AS (SELECT "group", min(created_at) AS began, count(*) AS n FROM grp JOIN r USING (doc_id) GROUP BY "group"),
+o AS (SELECT *, sum(n) OVER w - n AS before, row_number() OVER w - 1 AS i, count(*) OVER () AS gs, sum(n) OVER () AS total FROM g WINDOW w AS (ORDER BY began NULLS FIRST, "group")),
+s AS (SELECT *, CASE WHEN gs >= 3 AND i = 0 THEN 'train' WHEN gs >= 3 AND i = gs - 1 THEN 'test' WHEN (before + n / 2) / total < 0.8 THEN 'train' WHEN (before + n / 2) / total < 0.8 + 0.1 THEN 'validation' ELSE 'test' END AS split FROM o)"""
+
+
+def _split(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "created_at", F.col("author_id"), F.substring("text", 1, 40).alias("opening"))
+    return docs, temporal_split.grouped_temporal_split(docs, "doc_id", "created_at", ["opening"])
+
+
+_SPLIT = _LINKED.replace(" UNION ALL SELECT doc_id, 'a' || author_id FROM r WHERE author_id IS NOT NULL", "")
+
+
+@query("temporal_split", f'{_SPLIT} SELECT doc_id, "group", split FROM grp JOIN s USING ("group")')
+def split_documents(spark, d):
+    return _split(spark, d)[1]
+
+
+@query("split_counts", f'{_SPLIT} SELECT split, count(*) AS n FROM grp JOIN s USING ("group") GROUP BY split')
+def split_counts(spark, d):
+    return _split(spark, d)[1].groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "leakage_check",
+    f"""{_SPLIT}, t AS (SELECT doc_id, split, author_id, opening FROM grp JOIN s USING ("group") JOIN r USING (doc_id))
+SELECT 'opening' AS field, opening AS value, count(DISTINCT split) AS n_splits FROM t WHERE opening <> '' GROUP BY opening HAVING count(DISTINCT split) > 1
+UNION ALL SELECT 'author_id', author_id, count(DISTINCT split) FROM t WHERE author_id <> '' GROUP BY author_id HAVING count(DISTINCT split) > 1""",
+)
+def leakage_check(spark, d):
+    docs, split = _split(spark, d)
+    return temporal_split.leaking_groups(split.join(docs, "doc_id"), ["opening", "author_id"])
+
+
+@query(
+    "alias_coalesce",
+    "SELECT record_id, "
+    + ", ".join(
+        "coalesce(" + ", ".join(f"nullif(json_extract_string(j, '$.{a}'), '')" for a in normalise.ALIASES[f]) + f") AS {f}"
+        for f in ("post_id", "author_id", "text", "lang", "conversation_id")
+    )
+    + r" FROM (SELECT record_id, CASE WHEN json_valid(p) THEN p::JSON END AS j FROM (SELECT record_id, regexp_replace(payload, '^\x{feff}', '') AS p FROM raw_records))",
+)
+def alias_coalesce(spark, d):
+    text = F.regexp_replace("payload", r"^\x{feff}", "")
+    record = F.when(F.try_parse_json(text).isNotNull(), text)
+    raw = table(spark, d, "raw_records").select("record_id", record.alias("_r"))
+    return raw.select("record_id", *[normalise.first_alias(F.col("_r"), f).alias(f) for f in ("post_id", "author_id", "text", "lang", "conversation_id")])
+
+
+@query(
+    "raw_envelope",
+    r"SELECT file_name || '#row=' || source_row AS source_ref, payload, coalesce(json_valid(p) AND json_type(CASE WHEN json_valid(p) THEN p ELSE 'null' END) = 'OBJECT', false) AS readable FROM (SELECT *, regexp_replace(payload, '^\x{feff}', '') AS p FROM raw_records)",
+)
+def raw_envelope(spark, d):
+    ok = F.coalesce(schema_drift.readable(F.col("payload")).isNotNull(), F.lit(False))
+    ref = F.concat("file_name", F.lit("#row="), "source_row")
+    return table(spark, d, "raw_records").select(ref.alias("source_ref"), "payload", ok.alias("readable"))
+
+
+@query("normalised_posts")
+def normalised_posts(spark, d):
+    raw = table(spark, d, "raw_records").select(
+        F.concat("file_name", F.lit("#row="), "source_row").alias("source_ref"), F.regexp_replace("payload", r"^\x{feff}", "").alias("payload")
+    )
+    return normalise.normalise_posts(raw)
+
+
+_S = _strip_sql("created_at")
+_TIME = rf"""
+SELECT source_row, epoch_us(CASE
+  WHEN regexp_full_match(s, '\d{{4}}-\d\d-\d\d') THEN try_strptime(s, '%Y-%m-%d')
+  WHEN regexp_full_match(s, '\d{{4}}-\d\d-\d\d[Tt ]\d\d:\d\d(:\d\d([.,]\d{{1,9}})?)?(Z|[+-]\d\d:?\d\d)?') THEN
+    try_strptime(replace(substr(s, 1, 10) || ' ' || regexp_extract(s, '[Tt ](\d\d:\d\d)', 1) || coalesce(nullif(regexp_extract(s, '[Tt ]\d\d:\d\d(:\d\d)', 1), ''), ':00'), 't', 'T'), '%Y-%m-%d %H:%M:%S')
+    + to_microseconds(CAST(substr(rpad(regexp_extract(s, '[.,](\d+)', 1), 6, '0'), 1, 6) AS INT))
+    - to_minutes(coalesce(CASE WHEN regexp_matches(s, '-\d\d:?\d\d$') AND regexp_matches(s, '[Tt ].*-\d\d:?\d\d$') THEN -1 ELSE 1 END * (try_cast(regexp_extract(s, '[Tt ].*[+-](\d\d):?(\d\d)$', 1) AS INT) * 60 + try_cast(regexp_extract(s, '[Tt ].*[+-](\d\d):?(\d\d)$', 2) AS INT)), 0))
+  WHEN regexp_full_match(s, '\d{{8}}[Tt]\d{{6}}Z?') THEN try_strptime(replace(substr(s, 1, 15), 't', 'T'), '%Y%m%dT%H%M%S')
+  WHEN regexp_full_match(s, '(Mon|Tue|Wed|Thu|Fri|Sat|Sun) (Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) \d\d? \d\d:\d\d:\d\d [+-]\d{{4}} \d{{4}}') THEN
+    try_strptime(substr(s, 5, length(s) - 14) || right(s, 4), '%b %d %H:%M:%S %Y')
+    - to_minutes(CASE WHEN s[-10] = '-' THEN -1 ELSE 1 END * (CAST(s[-9:-8] AS INT) * 60 + CAST(s[-7:-6] AS INT))) END) AS utc_micros
+FROM (SELECT source_row, {_S} AS s FROM synthetic_posts)"""
+
+
+@query("timestamp_parse", _TIME)
+def timestamp_parse(spark, d):
+    at = normalise.parse_time(F.col("created_at"))
+    return table(spark, d, "synthetic_posts").select("source_row", F.unix_micros(at).alias("utc_micros"))
+
+
+@query(
+    "reference_types",
+    r"""SELECT source_row, array_to_string(list_sort(list_distinct(list_concat(coalesce(list_filter(list_transform(reference_types, lambda x: lower(trim(x))), lambda x: x <> ''), []),
+  list_filter([CASE WHEN regexp_matches(text, '^[\s\x{0b}\p{Z}]*RT @') THEN 'retweeted' END, CASE WHEN in_reply_to_post_id IS NOT NULL THEN 'replied_to' END], lambda x: x IS NOT NULL)))), ',') AS labels FROM synthetic_posts""",
+)
+def reference_types(spark, d):
+    labels_ = normalise.reference_labels(F.to_json("reference_types"), F.col("text"), F.col("in_reply_to_post_id"), F.lit(None).cast("string"))
+    return table(spark, d, "synthetic_posts").select("source_row", F.array_join(labels_, ",").alias("labels"))
+
+
+_SYSTEM, _CONTEXT = "Write a short post in the configured style.", "historical/general"
+
+
+@query(
+    "sft_records",
+    f"""SELECT doc_id, 'Topic: ' || topic || chr(10) || 'Intent: ' || intent || chr(10) || 'Length: ' || length_bucket || chr(10) || 'Time context: {_CONTEXT}' AS user_prompt,
+  text AS completion, 2 AS n_messages FROM ({_LABELS}) JOIN documents USING (doc_id)""",
+)
+def sft_records(spark, d):
+    docs = table(spark, d, "documents").where("text is not null").withColumn("created", normalise.render_time(F.col("created_at")))
+    docs = docs.withColumns(labels.label_columns("text", "created"))
+    out = docs.select("doc_id", prompts.prompt(_SYSTEM, _CONTEXT).alias("p"), prompts.completion("text").alias("c"))
+    return out.select("doc_id", F.col("p")[1]["content"].alias("user_prompt"), F.element_at("c", -1)["content"].alias("completion"), F.size("p").alias("n_messages"))
+
+
+_RULES = {"deadline": r"(?i)\b(today|tonight|deadline)\b", "numbers": r"[0-9]{3,}", "question": r"[?]"}
+
+
+@query(
+    "first_rule",
+    "SELECT request_id, CASE " + " ".join(f"WHEN regexp_matches(t, '{p}') THEN '{n}'" for n, p in _RULES.items()) + " END AS rule FROM (SELECT request_id, concat_ws(chr(10), topic, intent, historical_context) AS t FROM generation_requests)",
+)
+def first_rule(spark, d):
+    text = F.concat_ws("\n", "topic", "intent", "historical_context")
+    return table(spark, d, "generation_requests").select("request_id", filters.first_rule(text, _RULES).alias("rule"))
