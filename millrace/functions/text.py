@@ -18,8 +18,8 @@ TOKEN = r"[\p{L}\p{N}_']+|[!?]+"
 
 
 def fold(text: Column) -> Column:
-    """Case folding: upper then lower case expands the sharp s and ligatures; both small sigmas become one."""
-    return F.replace(F.lower(F.upper(text)), F.lit("ς"), F.lit("σ"))
+    """Case folding: upper case expands the sharp s and ligatures, then lower case; both small sigmas become one."""
+    return F.replace(F.lower(F.replace(F.upper(text), F.lit("ẞ"), F.lit("SS"))), F.lit("ς"), F.lit("σ"))
 
 
 def simple_fold(text: Column) -> Column:

@@ -53,7 +53,9 @@ def profile_distance(candidate: DataFrame, reference: DataFrame) -> DataFrame:
     """One row with ``distance``: both sides are one-row profiles."""
     a = candidate.select(*[F.col(n).alias(f"a_{n}") for n in SCALES]).limit(1)
     b = reference.select(*[F.col(n).alias(f"b_{n}") for n in SCALES]).limit(1)
-    parts = [F.least(F.lit(MOST), F.abs(F.col(f"a_{n}") - F.col(f"b_{n}")) / s) for n, s in SCALES.items()]
+    apart = lambda n: F.abs(F.col(f"a_{n}") - F.col(f"b_{n}"))
+    # least() would pass over the null of an empty corpus.
+    parts = [F.when(apart(n).isNotNull(), F.least(F.lit(MOST), apart(n) / s)) for n, s in SCALES.items()]
     total = parts[0]
     for p in parts[1:]:
         total = total + p
