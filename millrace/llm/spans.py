@@ -1,6 +1,7 @@
 """Long stretches of text that stand word for word in other records.
 
-Method: recompression. A text starts as its tokens (a run of letters and digits with what follows it). Rounds then
+Method: recompression. A text starts as its tokens (a run of letters and digits with what follows it; single characters
+where that is longer than a block). Rounds then
 name runs of one symbol and pairs of neighbours: a pair is joined where the first symbol's coin of the round falls on
 one side and the second's on the other, so equal substrings are parsed alike but for a symbol or so at their ends. A
 name is a hash of what it stands for, hence global without any exchange between tasks; a pair that would become longer
@@ -62,6 +63,13 @@ def blocks(codes: np.ndarray, first: np.ndarray, longest: int = BLOCK, rounds: i
     start[1:] &= ~inside[:-1] | (codes[1:] >= IDEOGRAPHS) | (codes[:-1] >= IDEOGRAPHS)
     start[first[:-1]] = True
     at = np.flatnonzero(start)
+    size = np.diff(np.append(at, len(codes)))
+    wide = np.flatnonzero(size > longest)
+    if len(wide):
+        # A token longer than a block (a long address, a row of dashes) is taken character by character.
+        part = np.arange(int(size[wide].sum())) - np.repeat(np.cumsum(size[wide]) - size[wide], size[wide])
+        start[np.repeat(at[wide], size[wide]) + part] = True
+        at = np.flatnonzero(start)
     end = np.append(at[1:], len(codes))
     text = np.searchsorted(first, at, "right") - 1
     # The line break that parts two texts belongs to none of them.
@@ -111,8 +119,6 @@ def names(texts: list[str], want: np.ndarray | None = None):
     long = hi - lo >= LEAST
     if want is not None:
         long &= want[text]
-    # Tokens longer than a block (rare) stand for themselves cut to the block's first characters.
-    end = np.minimum(end, at + BLOCK)
     left, right = long & (at - SIDE >= lo), long & (end + SIDE <= hi)
     start = np.concatenate([at[left] - SIDE, at[right]])
     stop = np.concatenate([end[left], end[right] + SIDE])
