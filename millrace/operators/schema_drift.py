@@ -23,6 +23,8 @@ from millrace.runtime import bounded_broadcast
 
 #: Hash functions in a value sketch, and the least score at which unknown keys count as one renamed key.
 SKETCH, RENAME_SCORE = 8, 0.55
+#: Files of a stream that are compared in one group.
+FILES = 64
 MARKS = "^[\\x{feff}\\s]+"
 
 PROFILE = (
@@ -148,14 +150,14 @@ def best_matching(weights: list[list[float]], least: float) -> list[tuple[int, i
 
 
 def _stream_changes(profiles: pd.DataFrame) -> pd.DataFrame:
-    """Changes along the files of one stream. A stream has few files and a file few keys."""
+    """Changes along ``FILES`` files of a stream; the file before them comes along as a predecessor only."""
     files: dict[int, list] = defaultdict(list)
     for row in profiles.itertuples():
         files[int(row.file_no)].append(row)
     out = []
     text = lambda xs: ",".join(sorted(xs))
     for no in sorted(files):
-        if no - 1 not in files:
+        if no - 1 not in files or no // FILES != profiles["_part"].iloc[0]:
             continue
         sides = []
         for rows in (files[no - 1], files[no]):
@@ -200,8 +202,14 @@ def _stream_changes(profiles: pd.DataFrame) -> pd.DataFrame:
 
 
 def match_versions(records: DataFrame, aliases: DataFrame) -> DataFrame:
-    """All changes of every file against its predecessor, with the evidence: alias, or matched by profile."""
-    return profile_fields(records, aliases).groupBy("stream_id").applyInPandas(_stream_changes, CHANGES)
+    """All changes of every file against its predecessor, with the evidence: alias, or matched by profile.
+
+    A task never holds more than the profiles of ``FILES`` + 1 files, however many files a stream has.
+    """
+    part, last = F.floor(F.col("file_no") / FILES), F.col("file_no") % FILES == FILES - 1
+    profiles = profile_fields(records, aliases)
+    profiles = profiles.withColumn("_part", F.explode(F.when(last, F.array(part, part + 1)).otherwise(F.array(part))))
+    return profiles.groupBy("stream_id", "_part").applyInPandas(_stream_changes, CHANGES)
 
 
 def found_changes(records: DataFrame, aliases: DataFrame) -> DataFrame:
