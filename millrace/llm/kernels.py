@@ -70,6 +70,11 @@ def stretch_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * powers(INVERSE, n)[starts] + (ends - starts).astype(np.uint64))
 
 
+def owners(first: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The text of each of the ordered positions ``starts``."""
+    return np.repeat(np.arange(len(first) - 1), np.diff(np.searchsorted(starts, first)))
+
+
 class Words:
     """Words (runs of letters and digits, case folded) of a batch: ``hash`` and ``doc`` of each, ``count`` by text."""
 
@@ -79,7 +84,7 @@ class Words:
         step = np.diff(inside, prepend=np.int8(0), append=np.int8(0))
         starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
         self.hash = stretch_hash(prefix_sums(value_table()[codes]), starts, ends)
-        self.doc = np.searchsorted(first, starts, "right") - 1
+        self.doc = owners(first, starts)
         self.count = np.bincount(self.doc, minlength=len(texts))
         self.letters = np.bincount(self.doc, weights=ends - starts, minlength=len(texts)).astype(np.int64)
 
@@ -88,22 +93,32 @@ class Words:
         ends = np.cumsum(self.count)
         return stretch_hash(prefix_sums(self.hash), ends - self.count, ends)
 
-    def shingles(self, n: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(text, hash) of the distinct runs of ``n`` words of the texts where ``keep``, ordered by text and hash."""
+    def runs(self, n: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, hash) of all runs of ``n`` words of the texts where ``keep``, in order and with repeats."""
         if len(self.hash) < n:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         at = np.flatnonzero((self.doc[: len(self.doc) - n + 1] == self.doc[n - 1 :]) & keep[self.doc[: len(self.doc) - n + 1]])
         value = np.zeros(len(at), dtype=np.uint64)
         for i in range(n):
             value = mix(value * np.uint64(BASE) + self.hash[at + i])
-        doc = self.doc[at]
+        return self.doc[at], value
+
+    def shingles(self, n: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, hash) of the distinct runs, ordered by text and hash."""
+        doc, value = self.runs(n, keep)
         order = np.lexsort((value, doc))
         doc, value = doc[order], value[order]
-        new = np.ones(len(doc), dtype=bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
+        new = fresh(doc, value)
         return doc[new], value[new]
 
 
+def fresh(doc: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """True at the first of each row of equal (doc, value)."""
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
+    return new
+
+
 def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
@@ -123,8 +138,9 @@ def count_sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray],
         counts = np.zeros(cells, dtype=np.uint32)
         for batch in batches:
             hit = (hashes(batch) & np.uint64(cells - 1)).astype(np.int64)
-            cell, n = np.unique(hit, return_counts=True)
-            counts[cell] += n.astype(np.uint32)
+            hit.sort()
+            cell = np.flatnonzero(np.diff(hit, prepend=-1))
+            counts[hit[cell]] += np.diff(np.append(cell, len(hit))).astype(np.uint32)
         pack = zstandard.ZstdCompressor(level=1).compress
         slices, blobs = [], []
         for s in range(SLICES):
@@ -169,20 +185,25 @@ def column_sketch(df: DataFrame, column: str) -> np.ndarray:
     return count_sketch(df.select(column).where(f"`{column}` is not null"), hashes)
 
 
+_tables: dict[str, np.ndarray] = {}
+
+
 def shared_table(spark: SparkSession, table: np.ndarray):
-    """Broadcast of a sketch (a fixed number of bytes)."""
+    """Broadcast of a sketch (a fixed number of bytes); a Python worker unpacks it once and keeps the last two."""
+    import uuid
+
     import zstandard
 
+    name = uuid.uuid4().hex
     blob = spark.sparkContext.broadcast(zstandard.ZstdCompressor(level=1).compress(table.tobytes()))
 
     def get() -> np.ndarray:
-        made = _tables.get(blob.id if hasattr(blob, "id") else id(blob))
-        if made is None:
-            made = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob.value), dtype=np.uint8)
-            _tables[blob.id if hasattr(blob, "id") else id(blob)] = made
-        return made
-
-    return get
+        from millrace.llm import kernels
 
+        if name not in kernels._tables:
+            while len(kernels._tables) > 1:
+                kernels._tables.pop(next(iter(kernels._tables)))
+            kernels._tables[name] = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob.value), dtype=np.uint8)
+        return kernels._tables[name]
 
-_tables: dict = {}
+    return get

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import copies
-from millrace.llm.kernels import Words, column_sketch, count_sketch, shared_table, texts_of
+from millrace.llm.kernels import Words, column_sketch, count_sketch, fresh, shared_table, texts_of
 from millrace.operators.components import connected_components
 from millrace.runtime import stash, unstash
 
@@ -54,12 +54,17 @@ def _prefixes(batch_texts: list[str], sketch: np.ndarray, seen: set[int], settin
     words = Words(batch_texts)
     key = words.sequence_key()
     keep = words.count >= max(least, n_words)
-    fresh = np.zeros(len(keep), dtype=bool)
+    send = np.zeros(len(keep), dtype=bool)
     for i in np.flatnonzero(keep):
         if (k := int(key[i])) not in seen:  # a class is sent once from each task
             seen.add(k)
-            fresh[i] = True
-    doc, value = words.shingles(n_words, fresh)
+            send[i] = True
+    doc, value = words.runs(n_words, send)
+    level = sketch[(value & np.uint64(len(sketch) - 1)).astype(np.int64)]
+    order = np.lexsort((value, level, doc))  # equal shingles have equal levels, so they stand together
+    doc, value, level = doc[order], value[order], level[order]
+    new = fresh(doc, value)
+    doc, value, level = doc[new], value[new], level[new]
     size = np.bincount(doc, minlength=len(batch_texts))
     # Table of distances: deviation of the shingles inside each pivot from half of the text's shingles.
     first = np.concatenate([[0], np.cumsum(size)])
@@ -78,9 +83,6 @@ def _prefixes(batch_texts: list[str], sketch: np.ndarray, seen: set[int], settin
         upper = ((value >> np.uint64(6)) & np.uint64(1)).astype(bool)
         for half in (0, 1):
             prints[half][full] = np.bitwise_xor.reduceat(np.where(upper == bool(half), bit, np.uint64(0)), first[full])
-    level = sketch[(value & np.uint64(len(sketch) - 1)).astype(np.int64)]
-    order = np.lexsort((value, level, doc))
-    doc, value, level = doc[order], value[order], level[order]
     place = np.arange(len(doc)) - first[doc]
     prefix = size - (-(-up * size // down)) + 1
     single = (place < prefix[doc]) & (level > 1) & (level < FREQUENT)
@@ -114,7 +116,7 @@ def candidate_classes(posts: DataFrame, setting: tuple, text: str = "text") -> D
 
     def hashes(batch: pa.RecordBatch) -> np.ndarray:
         words = Words(texts_of(batch.column(0)))
-        return words.shingles(n_words, words.count >= max(least, n_words))[1]
+        return words.runs(n_words, words.count >= max(least, n_words))[1]
 
     sketch = shared_table(spark, count_sketch(column, hashes))
 

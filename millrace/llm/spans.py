@@ -37,6 +37,7 @@ from millrace.llm.kernels import (
     column_sketch,
     count_sketch,
     mix,
+    owners,
     prefix_sums,
     shared_table,
     stretch_hash,
@@ -71,7 +72,7 @@ def blocks(codes: np.ndarray, first: np.ndarray, longest: int = BLOCK, rounds: i
         start[np.repeat(at[wide], size[wide]) + part] = True
         at = np.flatnonzero(start)
     end = np.append(at[1:], len(codes))
-    text = np.searchsorted(first, at, "right") - 1
+    text = owners(first, at)
     # The line break that parts two texts belongs to none of them.
     end = np.where(end == first[text + 1], end - 1, end)
     empty = end <= at
