@@ -53,6 +53,17 @@ def all_failures(checks: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in checks.items()]))
 
 
+def request_failures(lengths: dict[str, tuple[int, int]], allowed: dict[str, list[str]]) -> Column:
+    """Names of the columns whose length is out of bounds or whose value isn't among the allowed ones, in order."""
+    checks = {c: F.length(F.coalesce(F.col(c), F.lit(""))).between(*b) for c, b in lengths.items()}
+    return all_failures(checks | {c: F.col(c).isin(*values) for c, values in allowed.items()})
+
+
+def sample_size(n: Column, least: int = 500, share: float = 0.10) -> Column:
+    """Rows to look at by hand: a share of ``n``, at least ``least``, at most all."""
+    return F.least(n, F.greatest(F.lit(least), F.ceil(n * F.lit(share)))).cast("bigint")
+
+
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """(stage, n) of several frames."""
     out = None

@@ -505,3 +505,26 @@ _RULES = {"deadline": r"(?i)\b(today|tonight|deadline)\b", "numbers": r"[0-9]{3,
 def first_rule(spark, d):
     text = F.concat_ws("\n", "topic", "intent", "historical_context")
     return table(spark, d, "generation_requests").select("request_id", filters.first_rule(text, _RULES).alias("rule"))
+
+
+_INTENTS, _LENGTHS = ["announce", "reply", "comment", "question"], ["very_short", "short", "medium", "long"]
+
+
+def _in_sql(column: str, values: list[str]) -> str:
+    return f"CASE WHEN NOT coalesce({column} IN ({', '.join(repr(v) for v in values)}), false) THEN '{column}' END"
+
+
+@query(
+    "request_bounds",
+    f"""SELECT request_id, concat_ws(',', CASE WHEN NOT length(coalesce(topic, '')) BETWEEN 2 AND 200 THEN 'topic' END,
+  CASE WHEN NOT length(coalesce(historical_context, '')) BETWEEN 0 AND 300 THEN 'historical_context' END, {_in_sql('intent', _INTENTS)}, {_in_sql('target_length', _LENGTHS)}) AS failures FROM generation_requests""",
+)
+def request_bounds(spark, d):
+    found = filters.request_failures({"topic": (2, 200), "historical_context": (0, 300)}, {"intent": _INTENTS, "target_length": _LENGTHS})
+    return table(spark, d, "generation_requests").select("request_id", F.array_join(found, ",").alias("failures"))
+
+
+@query("sample_sizes", "SELECT source, count(*) AS n, CAST(least(count(*), greatest(20, ceil(count(*) * 0.1))) AS BIGINT) AS n_sample FROM documents GROUP BY source")
+def sample_sizes(spark, d):
+    counts = table(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("n_sample", filters.sample_size(F.col("n"), 20))
