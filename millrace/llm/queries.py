@@ -24,7 +24,65 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("p1_found")
+# SQL fragments shared by the comparison statements: the folded text, its letters and digits, the fields in order.
+_FOLDED = "replace(replace(lower({0}), 'ß', 'ss'), 'ς', 'σ')"
+_PLAIN = "regexp_replace(" + _FOLDED + r", '[^\p{L}\p{N}]+', '', 'g')"
+_FORMS = (
+    "forms AS (SELECT *, CASE WHEN len(parts) >= 2 AND len(list_filter(parts, lambda p: NOT regexp_matches(p, '"
+    + copies.FIELD
+    + "'))) = 0 THEN array_to_string(list_sort(list_transform(parts, lambda p: "
+    + _PLAIN.replace("{0}", "p")
+    + ")), chr(31)) END AS tree FROM (SELECT *, "
+    + _PLAIN.replace("{0}", "text")
+    + " AS plain, list_filter(regexp_split_to_array(text, '"
+    + copies.PART
+    + "'), lambda p: length(p) > 0) AS parts FROM base))"
+)
+
+_P1 = (
+    "WITH base AS (SELECT DISTINCT post_id, text FROM synthetic_posts WHERE post_id IS NOT NULL AND text IS NOT NULL), "
+    + _FORMS
+    + ", w AS (SELECT post_id, plain, tree, regexp_extract_all("
+    + _FOLDED.replace("{0}", "text")
+    + r""", '[\p{L}\p{N}]+') AS w FROM forms),
+s AS (SELECT post_id, plain, tree, list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS g FROM w WHERE len(w) >= 20),
+e AS (SELECT post_id, plain, tree, len(g) AS n, unnest(g) AS h FROM s),
+p AS (SELECT a.post_id AS x, b.post_id AS y, a.plain AS pa, b.plain AS pb, a.tree AS ta, b.tree AS tb, a.n AS na, b.n AS nb, count(*) AS k
+  FROM e a JOIN e b ON a.h = b.h AND a.post_id < b.post_id GROUP BY ALL)
+SELECT DISTINCT x AS post_id_a, y AS post_id_b FROM p WHERE 5 * k >= 3 * (na + nb - k)
+  AND NOT (length(pa) >= 40 AND length(pb) >= 40 AND (pa = pb OR coalesce(ta = tb, false)))"""
+)
+
+_P2 = """
+WITH t AS (SELECT DISTINCT post_id, text FROM synthetic_posts WHERE post_id IS NOT NULL AND length(text) >= 120),
+w AS (SELECT post_id, i, substr(text, i + 1, 120) AS s FROM (SELECT post_id, text, unnest(range(length(text) - 119)) AS i FROM t)),
+hit AS (SELECT s FROM w GROUP BY s HAVING min(post_id) <> max(post_id)),
+c AS (SELECT DISTINCT post_id, i FROM w JOIN hit USING (s)),
+f AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY post_id ORDER BY i) + 120 THEN 0 ELSE 1 END AS fresh FROM c),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY post_id ORDER BY i) AS k FROM f)
+SELECT post_id, CAST(min(i) AS INT) AS span_start, CAST(max(i) + 120 AS INT) AS span_end FROM g GROUP BY post_id, k"""
+
+_P3 = (
+    "WITH base AS (SELECT source_row, text FROM synthetic_posts WHERE text IS NOT NULL), "
+    + _FORMS
+    + """, r AS (SELECT source_row, coalesce('=' || tree, plain) AS form FROM forms WHERE length(plain) >= 40)
+SELECT keep_row, source_row AS copy_row FROM (SELECT source_row, min(source_row) OVER (PARTITION BY form) AS keep_row FROM r) WHERE keep_row <> source_row"""
+)
+
+_P6 = r"""
+WITH RECURSIVE r AS (SELECT post_id, coalesce(conversation_id, post_id) AS raw, in_reply_to_post_id AS parent FROM synthetic_posts WHERE post_id IS NOT NULL),
+l AS (SELECT DISTINCT post_id, lower(trim(raw)) AS conv FROM r),
+edge AS (SELECT DISTINCT a.conv AS u, b.conv AS v FROM l a JOIN l b ON a.post_id = b.post_id WHERE a.conv <> b.conv
+  UNION SELECT lower(trim(r.raw)), l.conv FROM r JOIN l ON r.parent = l.post_id WHERE lower(trim(r.raw)) <> l.conv
+  UNION SELECT l.conv, lower(trim(r.raw)) FROM r JOIN l ON r.parent = l.post_id WHERE lower(trim(r.raw)) <> l.conv),
+reach(u, v) AS (SELECT DISTINCT conv, conv FROM l UNION SELECT reach.u, edge.v FROM reach JOIN edge ON reach.v = edge.u),
+root AS (SELECT u AS conv, min(v) AS root FROM reach GROUP BY u),
+grp AS (SELECT root, min(post_id) AS group_id FROM root JOIN l USING (conv) GROUP BY root),
+many AS (SELECT root FROM root JOIN (SELECT lower(trim(raw)) AS conv, raw FROM r) USING (conv) GROUP BY root HAVING count(DISTINCT raw) > 1)
+SELECT DISTINCT group_id, post_id FROM l JOIN root USING (conv) JOIN many USING (root) JOIN grp USING (root)"""
+
+
+@query("p1_found", _P1)
 def p1_found(spark, d):
     return near_copies.found_pairs(table(spark, d, "synthetic_posts"))
 
@@ -34,7 +92,7 @@ def p1_groups(spark, d):
     return near_copies.near_groups(table(spark, d, "synthetic_posts"))
 
 
-@query("p2_found")
+@query("p2_found", _P2)
 def p2_found(spark, d):
     return spans.shared_stretches(table(spark, d, "synthetic_posts"))
 
@@ -44,7 +102,7 @@ def p2_amounts(spark, d):
     return spans.shared_amounts(table(spark, d, "synthetic_posts"))
 
 
-@query("p3_found")
+@query("p3_found", _P3)
 def p3_found(spark, d):
     return copies.found_copies(table(spark, d, "synthetic_posts"))
 
@@ -65,7 +123,7 @@ def p4_segments(spark, d):
     return out.select("post_id", "segment_no", "lang", F.round("confidence", 6).alias("confidence")).distinct()
 
 
-@query("p6_found")
+@query("p6_found", _P6)
 def p6_found(spark, d):
     return splits.found_groups(table(spark, d, "synthetic_posts"))
 
