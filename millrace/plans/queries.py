@@ -25,7 +25,26 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("p5_found")
+_P5 = r"""
+WITH j AS (SELECT stream_id, file_no, CASE WHEN json_valid(p) AND p <> '' THEN p::JSON END AS j FROM (SELECT *, regexp_replace(payload, '^[\x{feff}\s]+', '') AS p FROM raw_records)),
+k AS (SELECT stream_id, file_no, j, unnest(json_keys(j)) AS k FROM j WHERE json_type(j) = 'OBJECT'),
+v AS (SELECT stream_id, file_no, k, json_extract(j, '$."' || k || '"') AS v FROM k),
+t AS (SELECT stream_id, file_no, k, replace(lower(k), '_', '') AS c, CASE json_type(v) WHEN 'NULL' THEN NULL WHEN 'UBIGINT' THEN 'BIGINT'
+  WHEN 'ARRAY' THEN 'ARRAY ' || json_type(v, '$[0]') ELSE json_type(v) END AS type FROM v),
+n AS (SELECT DISTINCT replace(lower(alias_name), '_', '') AS c, field_name FROM field_aliases),
+f AS (SELECT stream_id, file_no, field_name, list_sort(list(DISTINCT k)) AS keys, list_sort(list(DISTINCT type) FILTER (WHERE type IS NOT NULL)) AS types FROM t JOIN n USING (c) GROUP BY ALL),
+files AS (SELECT DISTINCT stream_id, file_no FROM k),
+pairs AS (SELECT a.stream_id, a.file_no FROM files a JOIN files b ON a.stream_id = b.stream_id AND a.file_no = b.file_no + 1),
+now AS (SELECT f.* FROM f JOIN pairs USING (stream_id, file_no)),
+old AS (SELECT f.stream_id, f.file_no + 1 AS file_no, field_name, keys, types FROM f JOIN pairs p ON p.stream_id = f.stream_id AND p.file_no = f.file_no + 1),
+b AS (SELECT stream_id, file_no, field_name, o.keys AS k0, o.types AS t0, w.keys AS k1, w.types AS t1 FROM old o FULL JOIN now w USING (stream_id, file_no, field_name))
+SELECT stream_id, file_no, field_name, 'added' AS change_kind FROM b WHERE k0 IS NULL
+UNION ALL SELECT stream_id, file_no, field_name, 'removed' FROM b WHERE k1 IS NULL
+UNION ALL SELECT stream_id, file_no, field_name, 'renamed' FROM b WHERE k0 <> k1
+UNION ALL SELECT stream_id, file_no, field_name, 'type_changed' FROM b WHERE len(t0) > 0 AND len(t1) > 0 AND t0 <> t1"""
+
+
+@query("p5_found", _P5)
 def p5_found(spark, d):
     return schema_drift.found_changes(table(spark, d, "raw_records"), table(spark, d, "field_aliases"))
 
