@@ -130,3 +130,8 @@ def is_link_only(text: Column) -> Column:
 
 def count_matches(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
+
+
+def count_characters(text: Column, kind: str) -> Column:
+    """Number of characters of a class, given as its inside: whole runs of others are dropped at once."""
+    return F.length(F.regexp_replace(text, f"[^{kind}]+", ""))

@@ -6,10 +6,12 @@ neutral, length very_short.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.text import WORD, count_matches
+from millrace.functions.text import WORD, bind, count_characters, count_matches
 
 # Keywords, in the order in which the rules are tried.
 TOPICS = {
@@ -34,27 +36,24 @@ LENGTHS = ((8, "very_short"), (20, "short"), (40, "medium"))
 
 def topic(text: Column) -> Column:
     """The topic with most keyword hits; the alphabetically last of equals; other without any hit."""
-    low = F.lower(text)
-    hits = lambda k: (F.length(low) - F.length(F.replace(low, F.lit(k), F.lit("")))) / len(k)
-    scored = []
-    for name, keys in TOPICS.items():
-        total = hits(keys[0])
-        for k in keys[1:]:
-            total = total + hits(k)
-        scored.append(F.struct(total.cast("int").alias("score"), F.lit(name).alias("topic")))
-    best = F.array_max(F.array(*scored))
-    return F.when(text.isNotNull(), F.when(best["score"] > 0, best["topic"]).otherwise("other"))
+
+    def best(low: Column) -> Column:
+        hits = lambda k: (F.length(low) - F.length(F.replace(low, F.lit(k), F.lit("")))) / len(k)
+        total = lambda keys: functools.reduce(lambda a, b: a + b, [hits(k) for k in keys]).cast("int")
+        return F.array_max(F.array(*[F.struct(total(keys).alias("score"), F.lit(name).alias("topic")) for name, keys in TOPICS.items()]))
+
+    name = bind(bind(F.lower(text), best), lambda b: F.when(b["score"] > 0, b["topic"]).otherwise("other"))
+    return F.when(text.isNotNull(), name)
 
 
 def intent(text: Column) -> Column:
-    low, out = F.lower(text), None
-    for name, words in INTENTS.items():
-        test = F.contains(low, F.lit(words[0]))
-        for w in words[1:]:
-            test = test | F.contains(low, F.lit(w))
-        out = F.when(test, name) if out is None else out.when(test, name)
-    out = out.when(F.contains(text, F.lit("?")), "question_or_challenge")
-    return F.when(text.isNotNull(), out.otherwise("comment"))
+    def first(low: Column) -> Column:
+        out = F
+        for name, words in INTENTS.items():
+            out = out.when(functools.reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words]), name)
+        return out.when(F.contains(low, F.lit("?")), "question_or_challenge").otherwise("comment")
+
+    return F.when(text.isNotNull(), bind(F.lower(text), first))
 
 
 def whole_word(words: str) -> str:
@@ -62,23 +61,27 @@ def whole_word(words: str) -> str:
 
 
 def tone_tags(text: Column) -> Column:
-    letters, upper = count_matches(text, r"\p{L}"), count_matches(text, r"\p{Lu}")
+    cased = F.struct(count_characters(text, r"\p{L}").alias("letters"), count_characters(text, r"\p{Lu}").alias("upper"))
+    loud = bind(cased, lambda c: (c["letters"] > 0) & (c["upper"] / F.greatest(c["letters"], F.lit(1)) >= UPPER_SHARE))
     tags = F.array(
         F.when(F.contains(text, F.lit("!")), "emphatic"),
         F.when(F.contains(text, F.lit("?")), "rhetorical"),
-        F.when((letters > 0) & (upper / F.greatest(letters, F.lit(1)) >= UPPER_SHARE), "uppercase_emphasis"),
+        F.when(loud, "uppercase_emphasis"),
         F.when(F.rlike(text, F.lit(whole_word(INTENSIFIERS))), "intensifier"),
         F.when(F.rlike(text, F.lit(whole_word(CONFRONTING))), "confrontational"),
     )
-    tags = F.array_compact(tags)
-    return F.when(text.isNotNull(), F.when(F.size(tags) > 0, tags).otherwise(F.array(F.lit("neutral"))))
+    shown = bind(F.array_compact(tags), lambda t: F.when(F.size(t) > 0, t).otherwise(F.array(F.lit("neutral"))))
+    return F.when(text.isNotNull(), shown)
 
 
 def length_bucket(text: Column) -> Column:
-    n, out = count_matches(text, r"[^\s\x{85}\x{1c}-\x{1f}\p{Z}]+"), None
-    for most, name in LENGTHS:
-        out = F.when(n <= most, name) if out is None else out.when(n <= most, name)
-    return F.when(text.isNotNull(), out.otherwise("long"))
+    def name_of(n: Column) -> Column:
+        out = F
+        for most, name in LENGTHS:
+            out = out.when(n <= most, name)
+        return out.otherwise("long")
+
+    return F.when(text.isNotNull(), bind(count_matches(text, r"[^\s\x{85}\x{1c}-\x{1f}\p{Z}]+"), name_of))
 
 
 def period_bucket(created: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import WORD, count_matches, ngrams, tokens
+from millrace.functions.text import WORD, bind, count_characters, count_matches, ngrams, tokens
 
 # The features with the scale of their natural spread, and the cap of a scaled difference.
 SCALES = {
@@ -28,13 +28,14 @@ MOST = 3.0
 
 def style_features(text: Column) -> dict[str, Column]:
     length = F.length(text)
-    letters, upper = count_matches(text, r"\p{L}"), count_matches(text, r"\p{Lu}")
+    cased = F.struct(count_characters(text, r"\p{L}").alias("letters"), count_characters(text, r"\p{Lu}").alias("upper"))
+    ratio = bind(cased, lambda c: F.when(c["letters"] > 0, c["upper"] / F.greatest(c["letters"], F.lit(1))).otherwise(F.lit(0.0)))
     per_100 = lambda c: count_matches(text, c) * 100.0 / F.greatest(length, F.lit(1))
     return {
         "characters": length.cast("double"),
         "words": count_matches(text, rf"[{WORD}']+").cast("double"),
         "sentences": F.greatest(F.lit(1), count_matches(text, "[.!?]+")).cast("double"),
-        "uppercase_ratio": F.when(letters > 0, upper / F.greatest(letters, F.lit(1))).otherwise(F.lit(0.0)),
+        "uppercase_ratio": ratio,
         "exclamations_per_100_chars": per_100("!"),
         "questions_per_100_chars": per_100("[?]"),
         "hashtags_per_post": count_matches(text, rf"(?<![{WORD}])#[{WORD}]+").cast("double"),
