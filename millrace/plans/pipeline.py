@@ -143,8 +143,7 @@ def evaluate(generated: DataFrame, reference: DataFrame, training: DataFrame, *,
     profiles = {name: stylometry.corpus_profile(df, text) for name, df in (("candidate", generated), ("reference", reference))}
     distance = stylometry.profile_distance(profiles["candidate"], profiles["reference"])
     diversity = {f"distinct_{r.n}": r.ratio for r in stylometry.distinct_n(generated, (2, 3), text).collect()}
-    candidates = overlap.overlap_candidates(generated, training, key, key, text, text)
-    matches = stash(overlap.best_matches(generated, candidates, key, text), "matches")
+    matches = stash(overlap.find_best_matches(generated, training, key, key, text, text), "matches")
     summary = overlap.overlap_summary(matches, span, jaccard)
     one = summary.withColumn("_one", F.lit(1)).join(distance.withColumn("_one", F.lit(1)), "_one").withColumn("distinct_2", F.lit(float(diversity["distinct_2"])))
     checks = overlap.evaluation_gate(one, **gate).collect()[0].asDict()
@@ -162,8 +161,7 @@ def evaluate(generated: DataFrame, reference: DataFrame, training: DataFrame, *,
 def guard_outputs(outputs: DataFrame, training: DataFrame, rules: dict[str, str], *, key: str = "request_id", text: str = "text", train_key: str = "idx", span: int = overlap.SPAN, jaccard: float = overlap.SIMILARITY) -> DataFrame:
     """(key, code) for every generated text: empty_generation, the first rule found, training_overlap or allowed."""
     clean = outputs.select(key, strip(nfkc(F.coalesce(text, F.lit("")))).alias("_text"))
-    candidates = overlap.overlap_candidates(clean, training, key, train_key, "_text", "text")
-    best = overlap.best_matches(clean, candidates, key, "_text").withColumnRenamed("gen", key)
+    best = overlap.find_best_matches(clean, training, key, train_key, "_text", "text").withColumnRenamed("gen", key)
     code = F.when(F.col("_text") == "", "empty_generation").otherwise(
         F.coalesce(filters.first_rule(F.col("_text"), rules), F.when(overlap.flagged(span, jaccard), "training_overlap"), F.lit("allowed"))
     )

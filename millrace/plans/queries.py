@@ -351,7 +351,7 @@ def _candidates(spark, d):
 
 
 def _matches(spark, d):
-    return overlap.best_matches(table(spark, d, "synthetic_posts"), _candidates(spark, d), "source_row")
+    return overlap.find_best_matches(table(spark, d, "synthetic_posts"), table(spark, d, "documents"), "source_row", "doc_id")
 
 
 @query("overlap_candidates", f"{_OVERLAP} SELECT gen, train, exact, span, round(jaccard, 6) AS jaccard FROM m")

@@ -174,7 +174,9 @@ def test_overlap_against_brute_force(spark):
     gen = spark.createDataFrame(list(enumerate(texts[:30])), "idx bigint, text string")
     train = spark.createDataFrame(list(enumerate(texts[20:])), "idx bigint, text string")
     cand = overlap.overlap_candidates(gen, train, "idx", "idx")
-    got = {r.gen: (r.train, r.exact, r.span, round(r.jaccard, 9)) for r in overlap.best_matches(gen, cand, "idx").collect()}
+    as_dict = lambda df: {r.gen: (r.train, r.exact, r.span, round(r.jaccard, 9)) for r in df.collect()}
+    got = as_dict(overlap.best_matches(gen, cand, "idx"))
+    assert as_dict(overlap.find_best_matches(gen, train, "idx", "idx")) == got
 
     def grams(t):
         w = t.split()
