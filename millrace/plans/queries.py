@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as text_fn
 from millrace.operators import dedup, filters, labels, normalise, overlap, prompts, schema_drift, stylometry, temporal_split, timestamps
-from millrace.runtime import table
+from millrace.runtime import shipped, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +17,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(f):
-        QUERIES[name] = f
+        QUERIES[name] = shipped(f)
         if sql:
             ORACLES[name] = sql
         return f

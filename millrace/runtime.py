@@ -9,8 +9,12 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +40,36 @@ def session(app: str = "millrace", cores: str = "*", **conf: str) -> SparkSessio
     }
     for key, value in (defaults | conf).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    made = builder.getOrCreate()
+    ship(made)
+    return made
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once for each context, for clusters where it isn't installed."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    if root.is_dir():
+        folder = tempfile.mkdtemp(prefix="millrace-code-")  # read by the driver only, which serves it to executors
+        archive = Path(folder) / "millrace.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(root.rglob("*.py")):
+                z.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(archive))
+    context._millrace_shipped = True
+
+
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``query`` after the package has been sent."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return query(spark, folder)
+
+    return run
 
 
 def scratch_root(spark: SparkSession) -> str:
