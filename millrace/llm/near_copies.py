@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from millrace.llm import copies
 from millrace.llm.kernels import Words, column_sketch, count_sketch, fresh, shared_table, texts_of
 from millrace.operators.components import connected_components
-from millrace.runtime import stash, unstash
+from millrace.runtime import hot_values, salted_join, stash, unstash
 
 #: Words in a shingle, the least similarity as a fraction, and the least number of words of a text.
 SHINGLE, THRESHOLD, LEAST_WORDS = 3, (3, 5), 20
@@ -211,14 +211,42 @@ def found_pairs(posts: DataFrame) -> DataFrame:
     return out.select(F.least("a", "b").alias("post_id_a"), F.greatest("a", "b").alias("post_id_b")).distinct()
 
 
-def near_groups(posts: DataFrame) -> DataFrame:
-    """(post_id, group_id, n_links) of every post with a near text: the group is the linked texts' least post id, the
-    links are the different texts (other than copies of its own words) that are near."""
-    good, people = near_classes(posts)
-    both = good.select(F.col("ca").alias("c"), F.col("cb").alias("o")).unionByName(good.select(F.col("cb").alias("c"), F.col("ca").alias("o")))
+def post_classes(posts: DataFrame, key: str = "post_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+    """(key, cs): the classes of every post's texts; empty where no text has ``least_words`` words."""
+    posts = posts.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where("_key is not null")
+    kind = dict(posts.dtypes)["_key"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = Words(texts_of(batch.column(1)))
+            c = pa.array(words.sequence_key().view(np.int64), mask=words.count < least_words)
+            yield pa.RecordBatch.from_arrays([batch.column(0), c], names=["_key", "c"])
+
+    found = posts.withColumn("_text", F.coalesce("_text", F.lit(""))).mapInArrow(run, f"_key {kind}, c bigint")
+    return found.groupBy("_key").agg(F.collect_set("c").alias("cs")).withColumnRenamed("_key", key)
+
+
+def post_groups(posts: DataFrame) -> DataFrame:
+    """(post_id, group_id, n_links), one row for every post: posts of the same words or with near texts are one group,
+    named by its least post id; a post without either is its own. The links are the different texts (other than copies
+    of its own words) that are near."""
+    good, _ = near_classes(posts)
+    rows = stash(post_classes(posts), "classes")
+    each = rows.select("post_id", F.explode("cs").alias("c"))
+    several = rows.where(F.size("cs") > 1).select(F.get("cs", F.lit(0)).alias("ca"), F.explode("cs").alias("cb"))  # one post's texts
+    components = connected_components(good.select("ca", "cb").unionByName(several), "ca", "cb").withColumnRenamed("node", "c")
+    both = good.select(F.col("ca").alias("c")).unionByName(good.select(F.col("cb").alias("c")))
     links = both.groupBy("c").agg(F.count(F.lit(1)).alias("n_links"))
-    components = connected_components(good, "ca", "cb").withColumnRenamed("node", "c")
-    rows = people.select(F.col("_key").alias("post_id"), "c").distinct().join(components, "c").join(links, "c")
-    names = rows.groupBy("component").agg(F.min("post_id").alias("group_id"))
-    rows = rows.join(names, "component")
-    return rows.groupBy("post_id", "group_id").agg(F.max("n_links").alias("n_links"))
+    classes = stash(each.groupBy("c").agg(F.min("post_id").alias("least"), F.count(F.lit(1)).alias("n")), "least")
+    named = classes.join(components, "c", "left").withColumn("component", F.coalesce("component", "c")).join(links, "c", "left")
+    names = named.groupBy("component").agg(F.min("least").alias("group_id"))
+    named = named.join(names, "component").select("c", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    found = salted_join(each, named, "c", "post_id", hot_values(classes, "c", "n"))
+    found = found.groupBy("post_id").agg(F.min("group_id").alias("group_id"), F.max("n_links").alias("n_links"))
+    alone = rows.where(F.size("cs") == 0).select("post_id", F.col("post_id").alias("group_id"), F.lit(0).cast("bigint").alias("n_links"))
+    return found.unionByName(alone)
+
+
+def near_groups(posts: DataFrame) -> DataFrame:
+    """The rows of ``post_groups`` of the posts with a near text of other words."""
+    return post_groups(posts).where("n_links > 0")

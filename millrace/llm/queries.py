@@ -89,7 +89,7 @@ def p1_found(spark, d):
 
 @query("p1_groups")
 def p1_groups(spark, d):
-    return near_copies.near_groups(table(spark, d, "synthetic_posts"))
+    return near_copies.post_groups(table(spark, d, "synthetic_posts"))
 
 
 @query("p2_found", _P2)

@@ -98,6 +98,39 @@ def test_near_cases(spark):
     assert near_copies.found_pairs(frame(spark, []).limit(0)).count() == 0
 
 
+def test_groups_hold_every_post(spark):
+    base = " ".join(f"word{i}" for i in range(30))
+    rows = [("p1", base), ("p2", base.upper()), ("p3", base.replace(" ", "\n")), ("p4", base + " more"), ("q1", base[::-1]), ("q2", base[::-1])]
+    rows += [("r1", "too short"), ("r2", "too short"), ("r3", None), ("r4", ""), ("r5", " ".join("abcdefghijklmnopqrstuvwxyz")), (None, base)]
+    got = sorted(tuple(r) for r in near_copies.post_groups(frame(spark, rows)).collect())
+    want = [("p1", "p1", 1), ("p2", "p1", 1), ("p3", "p1", 1), ("p4", "p1", 1), ("q1", "q1", 0), ("q2", "q1", 0)]
+    assert got == want + [(r, r, 0) for r in ("r1", "r2", "r3", "r4", "r5")]
+
+
+def test_groups_of_one_post_with_two_texts_and_of_hot_copies(spark, monkeypatch):
+    monkeypatch.setattr("millrace.runtime.HOT_ROWS", 3)
+    a, b = (" ".join(f"{x}{i}" for i in range(25)) for x in "ab")
+    rows = [("p1", a), ("p2", a), ("p2", b), ("p3", b)] + [(f"s{i}", "c " * 30) for i in range(9)]
+    got = {r.post_id: (r.group_id, r.n_links) for r in near_copies.post_groups(frame(spark, rows)).collect()}
+    assert got == {f"p{i}": ("p1", 0) for i in (1, 2, 3)} | {f"s{i}": ("s0", 0) for i in range(9)}
+
+
+def test_groups_against_components_of_pairs(spark, posts, monkeypatch):
+    monkeypatch.setitem(globals(), "canonical", lambda text: None)  # copies are near, too
+    root = {r.post_id: r.post_id for r in posts.select("post_id").distinct().collect() if r.post_id}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, y in brute_near(texts_by_post(posts)):
+        a, b = sorted((find(x), find(y)))
+        root[b] = a
+    got = [tuple(r)[:2] for r in near_copies.post_groups(posts).collect()]
+    assert len(got) == len(root) and dict(got) == {p: find(p) for p in root}
+
+
 def test_pivots_never_rule_out_a_near_pair():
     rng = random.Random(3)
     for _ in range(200):
