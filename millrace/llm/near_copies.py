@@ -13,7 +13,8 @@ A table of distances alone would have to be compared pair by pair. Pairs are the
 their rarest shingles (prefix filtering, also without loss): two texts of the wanted similarity share one of the
 ``n - ceil(J * n) + 1`` first shingles of either in one common order. The order is by frequency, rare first, from a
 count sketch over all texts. Where the first shared shingle is frequent, the next shared one is as frequent or more, so
-frequent shingles are used only in pairs, over a prefix longer by one. Shingles that the sketch has seen once
+frequent shingles are used only in pairs, over a prefix longer by one; texts so small that one shared shingle is enough
+(one word over and over) use it alone, too. Shingles that the sketch has seen once
 are in no second text and are left out.
 
 Texts with the same words are one class from the start; a class's pairs are spread to its posts at the end, where posts
@@ -85,7 +86,8 @@ def _prefixes(batch_texts: list[str], sketch: np.ndarray, seen: set[int], settin
             prints[half][full] = np.bitwise_xor.reduceat(np.where(upper == bool(half), bit, np.uint64(0)), first[full])
     place = np.arange(len(doc)) - first[doc]
     prefix = size - (-(-up * size // down)) + 1
-    single = (place < prefix[doc]) & (level > 1) & (level < FREQUENT)
+    tiny = size * up <= down  # such texts can meet in one shingle alone, and only with each other
+    single = (place < prefix[doc]) & (level > 1) & ((level < FREQUENT) | tiny[doc])
     keys, owner = [value[single]], [doc[single]]
     often = np.flatnonzero((place < (prefix + 1)[doc]) & (level >= FREQUENT))
     for step in range(1, int(prefix.max(initial=0)) + 1):

@@ -98,6 +98,14 @@ def test_near_cases(spark):
     assert near_copies.found_pairs(frame(spark, []).limit(0)).count() == 0
 
 
+def test_near_pairs_of_one_word_repeated(spark):
+    rows = [("p1", "x " * 20_000), ("p2", "x " * 20_001), ("p3", "x y " * 20_000)] + [(f"h{i:03}", "ha " * (20 + i)) for i in range(120)]
+    names = [f"h{i:03}" for i in range(120)]
+    want = {("p1", "p2")} | {(a, b) for a in names for b in names if a < b}
+    got = [tuple(r) for r in near_copies.found_pairs(frame(spark, rows)).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
 def test_groups_hold_every_post(spark):
     base = " ".join(f"word{i}" for i in range(30))
     rows = [("p1", base), ("p2", base.upper()), ("p3", base.replace(" ", "\n")), ("p4", base + " more"), ("q1", base[::-1]), ("q2", base[::-1])]
