@@ -1,9 +1,10 @@
 """Schemas that drift between the files of a stream.
 
 ``profile_fields`` reduces every file to one row per spelled key: JSON types seen, a min-hash sketch of the values
-and the mean length of a value. ``match_versions`` compares a file with the one before it: fields known by the alias
-table are matched by name (case and underscores ignored), the remaining keys by a maximum-weight bipartite matching
-on sketches, types and name similarity. ``unify_posts`` reads every payload into one table.
+and the mean length of a value. ``match_versions`` compares a file with the one before it by a maximum-weight bipartite
+matching of all their keys, on sketches, types and name similarity. A field that the alias table (case and underscores
+ignored) knows in both files has the highest score; one known in one file only can be matched with any other key.
+``unify_posts`` reads every payload into one table.
 
 Defined results: null, blank and unreadable payloads and payloads that are no JSON object count as not readable and
 give no profile rows (``unify_posts`` returns them with ``readable`` false and null fields); a byte order mark is
@@ -13,6 +14,7 @@ ignored; a file landed twice counts once; a first file, and one whose predecesso
 from __future__ import annotations
 
 from collections import defaultdict
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -36,6 +38,23 @@ CHANGES = (
 )
 
 
+#: With whether the field is one of the alias table.
+KNOWN_CHANGES = CHANGES + ", known boolean"
+#: Score of a key with itself: more than two other pairs together, so no other pair can displace it.
+SAME = 3.0
+
+
+class Node(NamedTuple):
+    """One side of the matching: a field of the alias table under all its spellings in a file, or any other key."""
+
+    field: str | None
+    spelling: str
+    spelled: set[str]
+    types: set[str]
+    sketch: list
+    mean_length: float
+
+
 def canonical_key(key: Column) -> Column:
     return F.replace(F.lower(key), F.lit("_"), F.lit(""))
 
@@ -96,14 +115,36 @@ def _name_similarity(a: str, b: str) -> float:
     return len(x & y) / len(x | y)
 
 
-def _score(a, b) -> float:
-    """How much two profiled keys look like one: equal sketch coordinates, shared types, names, value lengths."""
-    pairs = [(x, y) for x, y in zip(a.sketch, b.sketch) if x == x and y == y and x is not None and y is not None]
+def _nodes(rows: list) -> list[Node]:
+    grouped: dict[tuple, list] = defaultdict(list)
+    for r in rows:
+        field = r.field_name if isinstance(r.field_name, str) else None
+        grouped[field, "" if field else r.spelling].append(r)
+    out = []
+    for (field, _), group in sorted(grouped.items(), key=lambda kv: (kv[0][0] is None, kv[0][0] or kv[0][1])):
+        # The sketch of several spellings is the least of each coordinate; their length is the mean over records.
+        sketch = [min((v for v in coordinate if v is not None and v == v), default=None) for coordinate in zip(*(r.sketch for r in group))]
+        sized = [(r.n, r.mean_length) for r in group if r.mean_length is not None and r.mean_length == r.mean_length]
+        length = sum(n * x for n, x in sized) / max(1, sum(n for n, _ in sized))
+        spelled = {r.spelling for r in group}
+        out.append(Node(field, min(spelled), spelled, {t for r in group for t in r.types}, sketch, length))
+    return out
+
+
+def _score(a: Node, b: Node) -> float:
+    """How much two nodes look like one: the same field or key, or else equal sketch coordinates, shared types, names
+    and value lengths. Two different fields of the alias table never match."""
+    if a.field and b.field:
+        return SAME if a.field == b.field else 0.0
+    if a.field is b.field and a.spelling == b.spelling:
+        return SAME
+    pairs = [(x, y) for x, y in zip(a.sketch, b.sketch) if x is not None and y is not None]
     values = sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
-    kinds = len({*a.types} & {*b.types}) / max(1, len({*a.types} | {*b.types}))
-    la, lb = a.mean_length or 0.0, b.mean_length or 0.0
+    kinds = len(a.types & b.types) / max(1, len(a.types | b.types))
+    la, lb = a.mean_length, b.mean_length
     lengths = min(la, lb) / max(la, lb) if max(la, lb) > 0 else 0.0
-    return 0.35 * values + 0.15 * kinds + 0.4 * _name_similarity(a.spelling, b.spelling) + 0.1 * lengths
+    names = max(_name_similarity(x, y) for x in a.spelled | {a.field or a.spelling} for y in b.spelled | {b.field or b.spelling})
+    return 0.35 * values + 0.15 * kinds + 0.4 * names + 0.1 * lengths
 
 
 def best_matching(weights: list[list[float]], least: float) -> list[tuple[int, int]]:
@@ -159,46 +200,35 @@ def _stream_changes(profiles: pd.DataFrame) -> pd.DataFrame:
     for no in sorted(files):
         if no - 1 not in files or no // FILES != profiles["_part"].iloc[0]:
             continue
-        sides = []
-        for rows in (files[no - 1], files[no]):
-            known: dict[str, tuple[set, set]] = {}
-            for r in rows:
-                if isinstance(r.field_name, str):
-                    spelled, types = known.setdefault(r.field_name, (set(), set()))
-                    spelled.add(r.spelling)
-                    types.update(r.types)
-            sides.append((known, [r for r in rows if not isinstance(r.field_name, str)]))
-        (old, old_rest), (new, new_rest) = sides
+        old, new = _nodes(files[no - 1]), _nodes(files[no])
+        pairs = best_matching([[_score(x, y) for y in new] for x in old], RENAME_SCORE)
         stream = files[no][0].stream_id
-        say = lambda field, kind, a, b, why: out.append((stream, no, field, kind, a, b, why))
-        for field in sorted({*old, *new}):
-            if field not in old:
-                say(field, "added", None, text(new[field][0]), "alias")
-            elif field not in new:
-                say(field, "removed", text(old[field][0]), None, "alias")
-            else:
-                if old[field][0] != new[field][0]:
-                    say(field, "renamed", text(old[field][0]), text(new[field][0]), "alias")
-                if old[field][1] and new[field][1] and old[field][1] != new[field][1]:
-                    say(field, "type_changed", text(old[field][1]), text(new[field][1]), "alias")
-        same = {r.spelling for r in old_rest} & {r.spelling for r in new_rest}
-        a = [r for r in old_rest if r.spelling not in same]
-        b = [r for r in new_rest if r.spelling not in same]
-        pairs = best_matching([[_score(x, y) for y in b] for x in a], RENAME_SCORE) if a and b else []
-        by_old = {r.spelling: r for r in old_rest}
-        kept = [(by_old[r.spelling], r) for r in new_rest if r.spelling in same] + [(a[i], b[j]) for i, j in pairs]
-        for x, y in kept:
-            if x.spelling != y.spelling:
-                say(y.spelling, "renamed", x.spelling, y.spelling, "matched")
-            if len(x.types) and len(y.types) and {*x.types} != {*y.types}:
-                say(y.spelling, "type_changed", text(x.types), text(y.types), "matched")
-        for i, x in enumerate(a):
+
+        def say(kind, a, b, x, y):
+            # A field of the alias table gives its name to the key that is matched with it.
+            field = next((z.field for z in (x, y) if z and z.field), None)
+            why = "matched" if any(z and not z.field for z in (x, y)) else "alias"
+            out.append((stream, no, field or (y or x).spelling, kind, a, b, why, field is not None))
+
+        for x, y in [(old[i], new[j]) for i, j in pairs]:
+            if x.spelled != y.spelled:
+                say("renamed", text(x.spelled), text(y.spelled), x, y)
+            if x.types and y.types and x.types != y.types:
+                say("type_changed", text(x.types), text(y.types), x, y)
+        for i, x in enumerate(old):
             if i not in {p[0] for p in pairs}:
-                say(x.spelling, "removed", x.spelling, None, "matched")
-        for j, y in enumerate(b):
+                say("removed", text(x.spelled), None, x, None)
+        for j, y in enumerate(new):
             if j not in {p[1] for p in pairs}:
-                say(y.spelling, "added", None, y.spelling, "matched")
-    return pd.DataFrame(out, columns=[c.split()[0] for c in CHANGES.split(", ")])
+                say("added", None, text(y.spelled), None, y)
+    return pd.DataFrame(out, columns=[c.split()[0] for c in KNOWN_CHANGES.split(", ")])
+
+
+def _known_changes(records: DataFrame, aliases: DataFrame) -> DataFrame:
+    part, last = F.floor(F.col("file_no") / FILES), F.col("file_no") % FILES == FILES - 1
+    profiles = profile_fields(records, aliases)
+    profiles = profiles.withColumn("_part", F.explode(F.when(last, F.array(part, part + 1)).otherwise(F.array(part))))
+    return profiles.groupBy("stream_id", "_part").applyInPandas(_stream_changes, KNOWN_CHANGES)
 
 
 def match_versions(records: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -206,16 +236,12 @@ def match_versions(records: DataFrame, aliases: DataFrame) -> DataFrame:
 
     A task never holds more than the profiles of ``FILES`` + 1 files, however many files a stream has.
     """
-    part, last = F.floor(F.col("file_no") / FILES), F.col("file_no") % FILES == FILES - 1
-    profiles = profile_fields(records, aliases)
-    profiles = profiles.withColumn("_part", F.explode(F.when(last, F.array(part, part + 1)).otherwise(F.array(part))))
-    return profiles.groupBy("stream_id", "_part").applyInPandas(_stream_changes, CHANGES)
+    return _known_changes(records, aliases).drop("known")
 
 
 def found_changes(records: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Changes of the fields in the alias table."""
-    out = match_versions(records, aliases).where("evidence = 'alias'")
-    return out.select("stream_id", "file_no", "field_name", "change_kind")
+    """Changes of the fields in the alias table, renames to and from keys outside it included."""
+    return _known_changes(records, aliases).where("known").select("stream_id", "file_no", "field_name", "change_kind")
 
 
 def unify_posts(records: DataFrame, aliases: DataFrame) -> DataFrame:

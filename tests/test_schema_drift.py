@@ -68,6 +68,22 @@ def test_unknown_keys_are_matched_by_profile(spark):
     assert got == {("post_id", "renamed", "alias"), ("post_id", "type_changed", "alias"), ("colourCode2", "renamed", "matched"), ("other", "added", "matched")}
 
 
+def test_known_fields_renamed_to_unknown_keys_and_back(spark):
+    first = [(1, json.dumps({"post_id": f"a{i}", "text": f"t{i % 3}"})) for i in range(20)]
+    second = [(2, json.dumps({"post_id": f"b{i}", "body": f"t{i % 3}"})) for i in range(20)]
+    third = [(3, json.dumps({"id": f"c{i}", "Text": f"t{i % 3}", "body2": 1})) for i in range(20)]
+    raw = rows(spark, *first, *second, *third)
+    got = sorted(tuple(r)[1:] for r in found_changes(raw, alias_frame(spark)).collect())
+    assert got == [(2, "text", "renamed"), (3, "post_id", "renamed"), (3, "text", "renamed")]
+    got = {(r.file_no, r.field_name, r.change_kind, r.before, r.after, r.evidence) for r in match_versions(raw, alias_frame(spark)).collect()}
+    assert got == {
+        (2, "text", "renamed", "text", "body", "matched"),
+        (3, "text", "renamed", "body", "Text", "matched"),
+        (3, "post_id", "renamed", "post_id", "id", "alias"),
+        (3, "body2", "added", None, "body2", "matched"),
+    }
+
+
 def test_broken_empty_and_null_payloads(spark):
     raw = rows(spark, (1, None), (1, ""), (1, "{"), (1, "null"), (1, "[1]"), (1, '\ufeff{"id": "7"}'), (3, '{"id": 7}'))
     assert found_changes(raw, alias_frame(spark)).count() == 0  # the predecessor of file 3 never came
