@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import bind, fingerprint, ngrams, tokens
 from millrace.operators.components import connected_components
-from millrace.runtime import stash
+from millrace.runtime import hot_values, salted_join, stash
 
 # The usual settings of the near-duplicate stage.
 SHINGLE, SIMILARITY, PERMUTATIONS, BANDS, CLUSTER_CAP = 3, 0.72, 64, 16, 3
@@ -122,6 +122,16 @@ def near_clusters(df: DataFrame, key: str, text: str = "text", n: int = SHINGLE,
     return rows.join(names.select("c", name.alias("cluster_id"), "cluster_size"), "c").select(F.col("k").alias(key), "cluster_id", "cluster_size")
 
 
+def clusters_with_copies(df: DataFrame, key: str, order: str, text: str = "text") -> DataFrame:
+    """(key, cluster_id) for every row with a text: ``near_clusters`` of the first rows of each fingerprint, whose
+    cluster holds for their exact copies, too. Copies are never compared in pairs."""
+    copies = stash(exact_duplicates(df, key, order, text).withColumn("_first", F.coalesce("duplicate_of", key)), "copies")
+    unique = df.join(copies.where("duplicate_of is null").select(key), key, "left_semi")
+    named = stash(near_clusters(unique, key, text).select(F.col(key).alias("_first"), "cluster_id"), "clusters")
+    counts = copies.groupBy("_first").agg(F.count(F.lit(1)).alias("n"))
+    return salted_join(copies.select(key, "_first"), named, "_first", key, hot_values(counts, "_first", "n")).select(key, "cluster_id")
+
+
 def cap_clusters(df: DataFrame, key: str, order: str, cap: int = CLUSTER_CAP) -> DataFrame:
     """``df`` (with cluster_id and cluster_size) plus ``kept``: evenly spaced members in ``order``, at most ``cap``.
 

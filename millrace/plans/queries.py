@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as text_fn
 from millrace.operators import dedup, filters, labels, normalise, overlap, prompts, schema_drift, stylometry, temporal_split, timestamps
-from millrace.runtime import shipped, table
+from millrace.runtime import shipped, stash, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -434,6 +434,35 @@ def leakage_check(spark, d):
     return temporal_split.leaking_groups(split.join(docs, "doc_id"), ["opening", "author_id"])
 
 
+GROUP_KEYS = ["conversation_id", "near_dup_cluster_id"]
+
+
+def _post_split(spark, d):
+    """The posts' whole group keys, and their split."""
+    posts = table(spark, d, "synthetic_posts")
+    at = timestamps.normalise_timestamps(posts, table(spark, d, "feeds")).select("source_row", "utc_micros")
+    near = dedup.clusters_with_copies(posts, "source_row", "source_row").withColumnRenamed("cluster_id", "near_dup_cluster_id")
+    keyed = posts.select("source_row", F.lower(text_fn.strip(F.col("conversation_id"))).alias("conversation_id"))
+    keyed = stash(keyed.join(at, "source_row").join(near, "source_row", "left"), "keyed")
+    return keyed, temporal_split.grouped_temporal_split(keyed, "source_row", "utc_micros", GROUP_KEYS)
+
+
+@query("post_split")
+def post_split(spark, d):
+    return _post_split(spark, d)[1]
+
+
+@query("post_leakage")
+def post_leakage(spark, d):
+    """(field, n_values, n_leaking) of each group key: its values, and those found in more than one split."""
+    keyed, split = _post_split(spark, d)
+    placed = stash(split.join(keyed, "source_row"), "placed")
+    leaking = temporal_split.leaking_groups(placed, GROUP_KEYS).groupBy("field").agg(F.count(F.lit(1)).alias("n_leaking"))
+    values = placed.select(F.explode(F.array(*[F.struct(F.lit(k).alias("field"), F.col(k).alias("value")) for k in GROUP_KEYS])).alias("x"))
+    values = values.select("x.*").where("value <> ''").groupBy("field").agg(F.count_distinct("value").alias("n_values"))
+    return values.join(leaking, "field", "left").select("field", "n_values", F.coalesce("n_leaking", F.lit(0)).alias("n_leaking"))
+
+
 @query(
     "alias_coalesce",
     "SELECT record_id, "

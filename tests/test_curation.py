@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from millrace.operators import dedup, filters, overlap, stylometry, temporal_split
 from millrace.operators.normalise import normalise_posts, parse_time, render_time
 from millrace.plans.pipeline import BuildSettings, build, evaluate, guard_outputs, guard_requests
+from millrace.plans.queries import QUERIES
 from millrace.sources.errors import DataError
 from millrace.sources.readers import read_records, read_texts
 from millrace.sources.writers import copy_publication, parse_store_uri
@@ -249,3 +250,18 @@ def test_store_uri(uri):
     for bad in ("http://x", "s3://", "plain/path"):
         with pytest.raises(DataError):
             parse_store_uri(bad)
+
+
+def test_posts_are_split_by_whole_keys(spark, tmp_path):
+    base = " ".join(f"word{i}" for i in range(60))
+    other = base[:45] + " " + " ".join(f"thing{i}" for i in range(60))  # the same opening, otherwise unrelated
+    texts = [(0, base, None), (1, "Quite another opening of forty characters: " + base, None), (2, other, None), (3, base, "c1"), (4, "alone here", "C1 ")]
+    texts += [(5, "nothing like it at all", "c2"), (6, None, "c2"), (7, None, None), (8, "x y z", None)]
+    rows = [(i, "f", f"2024-05-{i + 1:02}T00:00:00Z", t, c) for i, t, c in texts]
+    spark.createDataFrame(rows, "source_row bigint, feed_id string, created_at string, text string, conversation_id string").write.parquet(f"{tmp_path}/synthetic_posts.parquet")
+    spark.createDataFrame([("f", None, "ymd")], "feed_id string, home_zone string, date_order string").write.parquet(f"{tmp_path}/feeds.parquet")
+    got = {r.source_row: (r.group, r.split) for r in QUERIES["post_split"](spark, str(tmp_path)).collect()}
+    assert {k: g for k, (g, _) in got.items()} == {0: 0, 1: 0, 2: 2, 3: 0, 4: 0, 5: 5, 6: 5, 7: 7, 8: 8}
+    assert len(set(got.values())) == len({g for g, _ in got.values()})
+    leaks = {r.field: (r.n_values, r.n_leaking) for r in QUERIES["post_leakage"](spark, str(tmp_path)).collect()}
+    assert leaks == {"conversation_id": (2, 0), "near_dup_cluster_id": (5, 0)}
