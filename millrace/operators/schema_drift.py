@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import strip
-from millrace.runtime import bounded_broadcast
+from millrace.runtime import bounded_broadcast, stash
 
 #: Hash functions in a value sketch, and the least score at which unknown keys count as one renamed key.
 SKETCH, RENAME_SCORE = 8, 0.55
@@ -38,8 +38,8 @@ CHANGES = (
 )
 
 
-#: With whether the field is one of the alias table.
-KNOWN_CHANGES = CHANGES + ", known boolean"
+#: With whether the field is one of the alias table, and the key outside it that was matched with the field.
+KNOWN_CHANGES = CHANGES + ", known boolean, key string"
 #: Score of a key with itself: more than two other pairs together, so no other pair can displace it.
 SAME = 3.0
 
@@ -208,7 +208,8 @@ def _stream_changes(profiles: pd.DataFrame) -> pd.DataFrame:
             # A field of the alias table gives its name to the key that is matched with it.
             field = next((z.field for z in (x, y) if z and z.field), None)
             why = "matched" if any(z and not z.field for z in (x, y)) else "alias"
-            out.append((stream, no, field or (y or x).spelling, kind, a, b, why, field is not None))
+            key = next((z.spelling for z in (x, y) if z and not z.field), None) if field else None
+            out.append((stream, no, field or (y or x).spelling, kind, a, b, why, field is not None, key))
 
         for x, y in [(old[i], new[j]) for i, j in pairs]:
             if x.spelled != y.spelled:
@@ -236,7 +237,7 @@ def match_versions(records: DataFrame, aliases: DataFrame) -> DataFrame:
 
     A task never holds more than the profiles of ``FILES`` + 1 files, however many files a stream has.
     """
-    return _known_changes(records, aliases).drop("known")
+    return _known_changes(records, aliases).drop("known", "key")
 
 
 def found_changes(records: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -244,31 +245,70 @@ def found_changes(records: DataFrame, aliases: DataFrame) -> DataFrame:
     return _known_changes(records, aliases).where("known").select("stream_id", "file_no", "field_name", "change_kind")
 
 
+def _stream_names(renames: pd.DataFrame) -> pd.DataFrame:
+    """The fields of a stream's keys outside the alias table, through renames from key to key; a key that leads to two
+    fields has none."""
+    fields: dict[str, set] = defaultdict(set)
+    near: dict[str, set] = defaultdict(set)
+    for r in renames.itertuples():
+        if r.known:
+            fields[r.key].add(r.field_name)
+        else:
+            near[r.before].add(r.after)
+            near[r.after].add(r.before)
+    todo = list(fields)
+    while todo:
+        key = todo.pop()
+        for other in near[key]:
+            if not fields[key] <= fields[other]:
+                fields[other] |= fields[key]
+                todo.append(other)
+    found = [(renames["stream_id"].iloc[0], k, min(f)) for k, f in fields.items() if len(f) == 1]
+    return pd.DataFrame(found, columns=["stream_id", "key", "field_name"])
+
+
+def learned_names(records: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(stream_id, learned): for each stream with such keys, a map from keys outside the alias table to their fields."""
+    renames = _known_changes(records, aliases).where("change_kind = 'renamed' and evidence = 'matched'")
+    renames = renames.select("stream_id", "field_name", "before", "after", "known", "key").distinct()
+    found = renames.groupBy("stream_id").applyInPandas(_stream_names, "stream_id string, key string, field_name string")
+    return found.groupBy("stream_id").agg(F.map_from_entries(F.collect_list(F.struct("key", "field_name"))).alias("learned"))
+
+
 def unify_posts(records: DataFrame, aliases: DataFrame) -> DataFrame:
     """One consistent table of posts: a row for each record, known fields as strings whatever the file's spelling.
 
     Every spelling of a field is looked up case- and underscore-blind; the first alias in the table's order that
-    has a value wins. Narrow: one pass, nothing is shuffled.
+    has a value wins, and after the aliases a key of the stream that was matched with the field. All keys outside the
+    alias table, matched or not, are kept in the map ``other_keys``, so none is lost where two claim one field.
     """
     names: dict[str, list[str]] = defaultdict(list)
-    for row in aliases.limit(10_000).collect():  # a dictionary of field names, fixed in size
+    for row in aliases.select("field_name", "alias_name").collect():  # a dictionary of field names, fixed in size
         if row.field_name is not None and row.alias_name is not None:
             names[row.field_name].append(row.alias_name.lower().replace("_", ""))
+    known = sorted({k for keys in names.values() for k in keys})
+    learned = stash(learned_names(records, aliases), "learned")
     rec = records.select(
         "record_id", "stream_id", "file_no", "source_row", readable(F.col("payload")).alias("_v")
-    )
-    # A record's keys in canonical spelling, once for all fields.
+    ).join(bounded_broadcast(learned), "stream_id", "left")
+    # A record's keys in canonical spelling, once for all fields; a learned key is its field after a mark.
     entries = F.map_entries(F.from_json(F.to_json("_v"), "map<string,string>"))
-    rec = rec.withColumn("_e", F.transform(entries, lambda e: F.struct(canonical_key(e["key"]).alias("k"), e["value"].alias("v"))))
+    told = lambda key: F.concat(F.lit("\x00"), F.try_element_at("learned", key))
+    inside = lambda key: canonical_key(key).isin(known) if known else F.lit(False)
+    name = lambda key: F.when(inside(key), canonical_key(key)).otherwise(told(key))
+    rec = rec.withColumn("_e", F.transform(entries, lambda e: F.struct(name(e["key"]).alias("k"), e["value"].alias("v"), e["key"].alias("key"))))
     hit = lambda key: F.get(F.filter("_e", lambda e: (e["k"] == key) & e["v"].isNotNull()), F.lit(0))["v"]
     pick = lambda keys: F.coalesce(*[hit(k) for k in dict.fromkeys(keys)])
     fields = []
     for field, keys in names.items():
-        value = pick(keys)
+        value = pick([*keys, "\x00" + field])
         if field == "reference_types":
             value = _reference_text(value)
         fields.append(value.alias(field))
-    return rec.select("record_id", "stream_id", "file_no", "source_row", F.col("_v").isNotNull().alias("readable"), *fields)
+    rest = F.transform(F.filter("_e", lambda e: ~inside(e["key"])), lambda e: F.struct(e["key"], e["v"]))
+    return rec.select(
+        "record_id", "stream_id", "file_no", "source_row", F.col("_v").isNotNull().alias("readable"), *fields, F.map_from_entries(rest).alias("other_keys")
+    )
 
 
 def _reference_text(value: Column) -> Column:

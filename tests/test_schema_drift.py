@@ -84,6 +84,14 @@ def test_known_fields_renamed_to_unknown_keys_and_back(spark):
     }
 
 
+def test_matched_keys_are_unified_and_others_kept(spark):
+    files = [("text", "mood"), ("body", "mood"), ("body_", "mood"), ("Text", "mood")]
+    raw = rows(spark, *[(no, json.dumps({"post_id": f"{no}-{i}", a: f"t{i % 3}", b: i % 2})) for no, (a, b) in enumerate(files, 1) for i in range(12)])
+    got = sorted((r.file_no, r.post_id, r.text, tuple(sorted(r.other_keys.items()))) for r in unify_posts(raw, alias_frame(spark)).collect())
+    more = lambda no, i: tuple((k, v) for k, v in ((files[no - 1][0], f"t{i % 3}"), ("mood", str(i % 2))) if k.lower() != "text")
+    assert got == sorted((no, f"{no}-{i}", f"t{i % 3}", more(no, i)) for no in range(1, 5) for i in range(12))
+
+
 def test_broken_empty_and_null_payloads(spark):
     raw = rows(spark, (1, None), (1, ""), (1, "{"), (1, "null"), (1, "[1]"), (1, '\ufeff{"id": "7"}'), (3, '{"id": 7}'))
     assert found_changes(raw, alias_frame(spark)).count() == 0  # the predecessor of file 3 never came
