@@ -4,7 +4,8 @@ Method: classification by compression. For each language a zstandard compressor
 language; a sentence belongs to the language whose dictionary makes it smallest. The confidence is the margin: the
 part of the second smallest size that the smallest saves. Sentences with a margin under ``MARGIN`` are rejected and
 take the language of the decided sentence before them, else of the one after; if no sentence of a text is decided, the
-text is tried as a whole, and where that is narrow too (under a fifth of ``MARGIN``) it has no language.
+text is tried as a whole, and where that is narrow too (under a fifth of ``MARGIN``) it is rejected: it gets the nearest
+language (null where all are equally near) with that low confidence, and is in no found case.
 
 The dictionaries are the only thing fitted: on a sample of about ``SAMPLE_ROWS`` labelled rows, chosen by the hash of
 their key over the whole table. Labels are wrong in part, so rows that the first dictionaries put elsewhere are left
@@ -138,7 +139,7 @@ class Compressors:
                 second = n
         return best, (second - low) / second if second < 1 << 60 else 0.0
 
-    def segments(self, text: str) -> list[tuple[str, float, str]]:
+    def segments(self, text: str) -> list[tuple[str | None, float, str]]:
         """(language, confidence, text) of every longest run of whole sentences of one language."""
         odd = any(mark in text for mark in MARKS)
         words_of = lambda s: WORD.findall((JUNK.sub(" ", s) if odd else s).lower())
@@ -152,7 +153,7 @@ class Compressors:
             return []
         if not any(code for code, _, _ in found):
             code, margin = self.decide(words_of(text))
-            return [(code, margin, text.strip())] if code and margin >= MARGIN / 5 else []
+            return [(code if margin > 0 else None, margin, text.strip())]
         current = next(code for code, _, _ in found if code)
         runs: list[list] = []
         for s, (code, margin, n) in zip(sentences, found):
@@ -222,5 +223,5 @@ def found_cases(posts: DataFrame) -> DataFrame:
     """(post_id, segment_no, true_lang): mixed posts, and posts whose label doesn't name their language."""
     found = detect(posts)
     wrong = F.col("label_code").isNull() | (F.col("label_code") != F.col("lang"))
-    out = found.where((F.col("n_segments") > 1) | wrong)
+    out = found.where(((F.col("n_segments") > 1) | wrong) & (F.col("confidence") >= MARGIN / 5))
     return out.select("post_id", "segment_no", F.col("lang").alias("true_lang")).distinct()

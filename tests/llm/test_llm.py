@@ -284,6 +284,13 @@ def test_language_cases(spark):
     assert languages.found_cases(none.limit(0)).count() == 0
 
 
+def test_rejected_posts_have_a_segment(spark, posts):
+    odd = spark.createDataFrame([("odd", "qxz kvw zzq xkq wvz jqx", None), ("few", "qxz kvw", None)], "post_id string, text string, lang string")
+    rows = languages.detect(posts.select("post_id", "text", "lang").unionByName(odd))
+    got = [r for r in rows.collect() if r.post_id in ("odd", "few")]
+    assert [(r.post_id, r.n_segments, r.segment_no) for r in got] == [("odd", 1, 1)] and 0 <= got[0].confidence < languages.MARGIN / 5
+
+
 # --- 6 ---------------------------------------------------------------------------------------------------------------
 
 
