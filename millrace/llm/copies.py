@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import alnum
-from millrace.runtime import hot_values, salted_join, stash
+from millrace.operators.components import connected_components
+from millrace.runtime import hot_values, salted_join, stash, unstash
 
 #: Letters and digits that a text must have to count as a copy of another.
 LEAST = 40
@@ -66,19 +67,18 @@ def copy_groups(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     base = rows.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where("_key is not null and _text is not null")
     base = base.withColumns(canonical_columns("_text")).where(F.length("_plain") >= LEAST)
     base = base.withColumns(digest_columns())
-    flats = stash(
-        base.groupBy("_flat").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("first"), F.min("_tree").alias("tree"), F.max("_tree").alias("tree2")),
-        "flats",
-    )
-    # Orders of the same fields have different flat digests and one tree digest. Texts that run alike but are cut into
-    # fields in two ways, or in none, share the flat digest and through it the least tree of both.
-    trees = flats.where("tree is not null").select(F.explode(F.array_distinct(F.array("tree", "tree2"))).alias("node"), "tree")
-    root = trees.groupBy("node").agg(F.min("tree").alias("root"))
-    rooted = flats.join(root.withColumnRenamed("node", "tree"), "tree", "left")
+    cuts = stash(base.groupBy("_flat", "_tree").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("first")), "cuts")
+    flats = cuts.groupBy("_flat").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.min("_tree").alias("tree"), F.max("_tree").alias("tree2"))
+    # Orders of the same fields have different flat digests and one tree digest; texts that run alike but are cut into
+    # fields in several ways share the flat digest. A group is a component over these links, however long the chain.
+    edges = cuts.join(flats.where("tree <> tree2").select("_flat", "tree"), "_flat").where("_tree is not null")
+    roots = connected_components(edges, "tree", "_tree")
+    rooted = flats.join(roots.select(F.col("node").alias("tree"), F.col("component").alias("root")), "tree", "left")
     rooted = rooted.select("_flat", "n", "first", F.coalesce("root", "tree", "_flat").alias("root"))
     groups = rooted.groupBy("root").agg(F.sum("n").alias("n_copies"), F.min("first").alias("keep_row"))
     groups = groups.where("n_copies > 1")
     wanted = stash(rooted.join(groups, "root").select("_flat", "n", "root", "keep_row", "n_copies"), "groups")
+    unstash(cuts)
     hot = hot_values(wanted, "_flat", "n")
     members = salted_join(base.select("_key", "_flat", "_tree", "_plain", "_fields"), wanted, "_flat", "_key", hot)
     members = stash(members, "members")

@@ -10,8 +10,8 @@ number of documents: a group of containers with equal contents is one entry. Doc
 among the documents of their size, counted in slices of each size, so no size is ordered in one task.
 
 Defined results: documents without tokens (null and empty texts) get a row with a null container; ties between
-documents of a size are broken by key; capacities that are null or below one are left out; repeated keys are packed
-as separate items in any order.
+documents of a size are broken by key; capacities that are null or below one are left out, of several for one kind the
+least holds; repeated keys are packed as separate items in any order.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from millrace.runtime import bounded_broadcast, stash
 
 #: Items of a size in one slice when they are ranked.
 SLICE = 200_000
+#: Kinds of containers that one call packs; more are refused, none is left out.
+MOST_KINDS = 1000
 #: Rows of a plan that are broadcast; beyond, the plan is joined by a shuffle on the size.
 PLAN_ROWS = 200_000
 
@@ -103,7 +105,7 @@ def plan_packing(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[i
             each = min(gap // size, left[size])
             used = min(n, left[size] // each)
             put(size, first, used, each)
-            if gap - used and gap - each * size:
+            if gap - each * size:
                 insort(gaps, (gap - each * size, first, used))
             if n > used:
                 insort(gaps, (gap, first + used, n - used))
@@ -113,10 +115,11 @@ def plan_packing(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[i
 def pack(sizes: DataFrame, containers: DataFrame, key: str = "doc_id", size: str = "n_tokens") -> DataFrame:
     """(container_kind, container_id, key, piece_no, first_token, n_tokens): where every piece of every item goes."""
     spark = sizes.sparkSession
-    kinds = {
-        r.container_kind: int(r.capacity_tokens)
-        for r in containers.where("container_kind is not null and capacity_tokens >= 1").limit(1000).collect()
-    }
+    named = containers.where("container_kind is not null and capacity_tokens >= 1").groupBy("container_kind")
+    rows = named.agg(F.min("capacity_tokens").alias("c")).limit(MOST_KINDS + 1).collect()
+    if len(rows) > MOST_KINDS:
+        raise ValueError(f"more than {MOST_KINDS} kinds of containers")
+    kinds = {r.container_kind: int(r.c) for r in rows}
     schema = f"container_kind string, container_id bigint, `{key}` {dict(sizes.dtypes)[key]}, piece_no int, first_token int, n_tokens int"
     if not kinds:
         return spark.createDataFrame([], schema)

@@ -242,6 +242,19 @@ def test_copy_cases(spark, monkeypatch):
     assert copies.found_copies(many).count() == 399 + 3
 
 
+def test_copies_cut_into_fields_in_several_ways(spark):
+    parts = ["Alpha: one two three", "Bravo: four five six", "Carol: seven eight nine", "Delta: ten eleven twelve"]
+
+    def cut(groups, swap):
+        fields = [" ".join(parts[i] if i == g[0] else parts[i].replace(":", "") for i in g) for g in groups]
+        return " | ".join(fields[::-1] if swap else fields)
+
+    three = [[(0, 1), (2, 3)], [(0,), (1, 2, 3)], [(0, 1, 2), (3,)]]
+    rows = [(f"p{i}{swap}", cut(g, swap)) for i, g in enumerate(three) for swap in (False, True)]
+    got = {tuple(r) for r in copies.found_copies(frame(spark, rows)).collect()}
+    assert got == {(0, i) for i in range(1, 6)}
+
+
 # --- 4 ---------------------------------------------------------------------------------------------------------------
 
 
@@ -407,6 +420,22 @@ def test_packing_of_documents(spark, medium, documents):
     assert out.doc_id.nunique() == documents.count()
 
 
+@pytest.mark.parametrize("n", range(35, 46))
+def test_gaps_of_as_many_containers_as_their_size_are_kept(n):
+    rows, opened = packing.plan_packing({60: n, 30: n, 10: n}, 100)
+    assert opened == n and sum(e - f for _, f, e, _, _ in rows) == 3 * n
+
+
+def test_packing_by_one_kind_with_two_capacities_and_by_too_many_kinds(spark, monkeypatch):
+    df = spark.createDataFrame([(0, 10), (1, 10)], "doc_id bigint, n_tokens int")
+    kinds = spark.createDataFrame([("k", 10), ("k", 20), ("l", 20)], "container_kind string, capacity_tokens int")
+    used = packing.pack(df, kinds).groupBy("container_kind").agg({"container_id": "max"}).collect()
+    assert {tuple(r) for r in used} == {("k", 1), ("l", 0)}
+    monkeypatch.setattr(packing, "MOST_KINDS", 1)
+    with pytest.raises(ValueError):
+        packing.pack(df, kinds)
+
+
 def test_packing_nothing(spark):
     assert len(packed(spark, [None, 0], 10)) == 2
     df = spark.createDataFrame([], "doc_id bigint, n_tokens int")
