@@ -1,11 +1,16 @@
 """One form for texts that look the same.
 
-Method: look-alike classes are the transitive classes, by union-find, of strings and code points that occur in the
-corpus: a code point and its compatibility form, a special blank and the plain blank, a character without width and
-the empty string, a Cyrillic or Greek letter and the Latin letter of the same shape. The representative of a class is
-its ASCII member if there is one, else its most frequent member. Texts are rewritten greedily from left to right by an
-automaton over all members that aren't representatives, after accents have been parted from their letters (so that a
-letter under an accent is seen) and before they are joined again.
+Method: look-alike classes are the transitive classes, by union-find, of strings and code points: a code point and its
+compatibility form, a special blank and the plain blank, a character without width and the empty string, a Cyrillic or
+Greek letter and the Latin letter of the same shape. A class may hold single code points and one spelling in atoms,
+that is, in code points that no rule takes apart any further. Among a class's atoms the representative is the one of
+the script with the most letters in the whole corpus, then the most frequent; a class that is spelled in several atoms
+is represented by their representatives. Texts are rewritten greedily from left to right by an automaton over all code
+points that aren't representatives, after accents have been parted from their letters (so that a letter under an accent
+is seen) and before they are joined again.
+
+Every pattern is one code point and every representative consists of code points that aren't patterns, so a text's
+form doesn't depend on where a match begins: two texts with one spelling in atoms' representatives have one form.
 
 Defined results: a null text has a null form; case, accents, line breaks, tabs and the number of blanks stay; a form
 may be empty; repeated keys and texts are kept as rows; an empty table gives an empty result.
@@ -17,10 +22,12 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.kernels import code_points, texts_of
 from millrace.runtime import stash
 
 # Letters shaped like a Latin letter, as pairs of the letter and the Latin one.
@@ -70,26 +77,38 @@ class Classes:
         return list(out.values())
 
 
+def atoms_of(char: str) -> str:
+    """The spelling of a code point in atoms."""
+    plain = plain_of(char)
+    return char if plain == char else "".join(atoms_of(c) for c in unicodedata.normalize("NFD", plain))
+
+
+def script_of(atom: str) -> str:
+    return unicodedata.name(atom, "?").split()[0] if unicodedata.category(atom)[0] == "L" else ""
+
+
 def rewriting(counts: dict[str, int]) -> dict[str, str]:
-    """Every member of a look-alike class that isn't its representative, with the representative."""
+    """Every code point that isn't its class's representative, with the representative."""
     classes = Classes()
-    for char in [*counts, *SHAPED]:
-        for base in unicodedata.normalize("NFD", char):
-            plain = plain_of(base)
-            if plain != base:
-                classes.union(base, plain)
-            for part in plain:
-                if part in SHAPED:
-                    classes.union(part, SHAPED[part])
-    # A string occurs at most as often as its rarest character.
-    often = lambda s: min((counts.get(c, 0) for c in s), default=0)
-    out: dict[str, str] = {}
+    spelled: dict[str, str] = {}
+    often: Counter = Counter()
+    for char in {*counts, *SHAPED, *SHAPED.values()}:
+        for part in unicodedata.normalize("NFD", char):
+            spelled[part] = atoms_of(part)
+            classes.union(part, spelled[part])
+            for atom in spelled[part]:
+                often[atom] += counts.get(char, 0)
+                classes.union(atom, SHAPED.get(atom, atom))
+    scripts: Counter = Counter()
+    for atom, n in often.items():
+        scripts[script_of(atom)] += n
+    best: dict[str, str] = {}
     for members in classes.members():
-        best = min(members, key=lambda s: (not s.isascii(), -often(s), len(s), s))
-        out |= {m: best for m in members if m != best and m}
-    # A representative may hold characters of other classes (a ligature of shaped letters): settle them as well.
-    settle = lambda s: "".join(out.get(c, c) for c in s)
-    return {m: settle(r) for m, r in out.items()}
+        atoms = [m for m in members if len(m) == 1 and spelled.get(m, m) == m]
+        first = min(atoms, key=lambda a: (-scripts[script_of(a)], -often[a], a), default=None)
+        best |= {m: first for m in atoms}
+    settle = lambda part: "".join(best[a] for a in spelled[part])
+    return {part: settle(part) for part in spelled if settle(part) != part}
 
 
 class Rewriter:
@@ -103,9 +122,10 @@ class Rewriter:
             self.machine.add_word(member, (len(member), best))
         self.machine.make_automaton()
         self.empty = not table
+        self.ascii_stays = not any(member.isascii() for member in table)
 
     def form(self, text: str | None) -> str | None:
-        if text is None or text.isascii():
+        if text is None or (self.ascii_stays and text.isascii()):
             return text
         text = unicodedata.normalize("NFD", text)
         if not self.empty:
@@ -122,12 +142,14 @@ def character_counts(df: DataFrame, text: str = "text") -> dict[str, int]:
     """How often every character occurs in the whole column: at most as many entries as Unicode has code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+        total = np.zeros(0x110000, dtype=np.int64)
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                if value and not value.isascii():
-                    total.update(value)
-        yield pa.RecordBatch.from_pydict({"c": pa.array(total.keys(), pa.string()), "n": pa.array(total.values(), pa.int64())})
+            codes = code_points(texts_of(batch.column(0)))[0]
+            some = np.bincount(codes)
+            total[: len(some)] += some
+            total[10] -= batch.num_rows  # the line breaks between texts
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"c": pa.array([chr(c) for c in found], pa.string()), "n": pa.array(total[found], pa.int64())})
 
     rows = df.select(F.col(text)).mapInArrow(run, "c string, n bigint").groupBy("c").agg(F.sum("n").alias("n")).collect()
     return {r.c: r.n for r in rows if r.c}

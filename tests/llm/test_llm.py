@@ -476,6 +476,27 @@ def test_lookalike_cases(spark):
     assert lookalikes.found_lookalikes(df.limit(0)).count() == 0
 
 
+def test_forms_of_every_character_and_its_compatibility_spelling():
+    import unicodedata
+
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    rewriter = lookalikes.Rewriter(lookalikes.rewriting(dict.fromkeys(every, 1) | {chr(c): 1000 for c in range(32, 127)}))
+    for c in every:
+        plain = unicodedata.normalize("NFKD", c)
+        if plain != c:
+            for context in ("{}", "a{}", "{}b", "{}\u0301", "1{}4", "\u0430{}"):
+                assert rewriter.form(context.format(c)) == rewriter.form(context.format(plain)), (c, context)
+    assert rewriter.form("\u215f4") == rewriter.form("1\u20444") == rewriter.form("\u00bc")
+
+
+def test_forms_take_the_script_that_is_frequent():
+    latin, russian = {"a": 50, "x": 1, "z": 50, "\uff41": 1}, {"\u0430": 5, "\u0445": 9}
+    assert lookalikes.rewriting(latin | russian)["\u0445"] == "x"
+    table = lookalikes.rewriting(latin | {c: 100 * n for c, n in russian.items()})
+    assert table["x"] == "\u0445" and table["a"] == "\u0430"
+    assert lookalikes.Rewriter(table).form("\uff41x") == "\u0430\u0445"
+
+
 # --- kernels and registration ----------------------------------------------------------------------------------------
 
 
