@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from datetime import datetime, timedelta, timezone
-from zoneinfo import ZoneInfo
+from zoneinfo import ZoneInfo, available_timezones
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,8 +135,9 @@ def normalise_timestamps(
     feeds = feeds.groupBy(F.col(feed).alias("_feed")).agg(
         F.min(F.coalesce("home_zone", F.lit("UTC"))).alias("_zone"), F.min("date_order").alias("_order")
     )
-    # Distinct zone names: no more than the zone database has; anything else is no zone.
-    zones = [r[0] for r in feeds.select("_zone").distinct().limit(2000).collect()]
+    # The zones in use: no more than the zone database has, whatever other names the feeds hold.
+    known = spark.createDataFrame([(z,) for z in sorted(available_timezones())], "_zone string")
+    zones = [r[0] for r in feeds.join(F.broadcast(known), "_zone", "left_semi").select("_zone").distinct().collect()]
     table, named = zone_table(spark, sorted({*zones, "UTC"}))
     named_map = F.create_map(*[F.lit(x) for kv in named.items() for x in kv])
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
+from zoneinfo import ZoneInfo, available_timezones
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,18 +61,6 @@ def p5_posts(spark, d):
     return schema_drift.unify_posts(table(spark, d, "raw_records"), table(spark, d, "field_aliases"))
 
 
-@query("p7_found")
-def p7_found(spark, d):
-    return timestamps.noncanonical_instants(table(spark, d, "synthetic_posts"), table(spark, d, "feeds"))
-
-
-@query("p7_instants")
-def p7_instants(spark, d):
-    return timestamps.normalise_timestamps(table(spark, d, "synthetic_posts"), table(spark, d, "feeds"))
-
-
-# --- the corpus engine's own operators -------------------------------------------------------------------------------
-
 # SQL fragments shared by the comparison statements.
 _FOLD = "replace(replace(lower({0}), 'ß', 'ss'), 'ς', 'σ')"
 _TOKENS = "regexp_extract_all(" + _FOLD + r", '[\p{L}\p{N}_'']+|[!?]+')"
@@ -85,6 +75,66 @@ def _strip_sql(expression: str) -> str:
     return _STRIP.replace("{{", "{").replace("}}", "}").replace("{0}", expression)
 
 
+def _abbreviations() -> str:
+    """VALUES (zone, abbreviation, offset in seconds) of all zones, read off the zone database; the latest use holds."""
+    found = {}
+    for zone in sorted(available_timezones()):
+        info = ZoneInfo(zone)
+        for year in range(1990, 2031):
+            for month in (1, 7):
+                t = datetime(year, month, 1, tzinfo=info)
+                found[zone, t.tzname().lower()] = int(t.utcoffset().total_seconds())
+    return ", ".join(f"('{z}', '{a}', {o})" for (z, a), o in found.items())
+
+
+def _layout_sql() -> str:
+    """The first shape that fits, laid out into its nine parts."""
+    cases = []
+    for kind, pattern, layout in timestamps.SHAPES:
+        order = f"ord = '{kind}' AND " if kind else ""
+        cases.append(f"WHEN {order}regexp_matches(s, '{pattern}') THEN regexp_replace(s, '{pattern}', '{layout.replace('$', chr(92))}')")
+    return "CASE " + " ".join(cases) + " END"
+
+
+_MONTH_SQL = "CASE " + " ".join(f"WHEN lower(p[2]) IN ('{m}', '{m[:3]}'{', ' + repr(m[:4]) if m == 'september' else ''}) THEN {i + 1}" for i, m in enumerate(timestamps.MONTHS)) + " END"
+#: A local reading's instant is looked for this many seconds before the one that the zone library gives.
+_BACK = "[0, 900, 1200, 1800, 2400, 2700, 3600, 5400, 7200, 10800]"
+INSTANTS = rf"""
+raw AS (SELECT source_row, post_id, created_at, {_strip_sql('created_at')} AS s, coalesce(home_zone, 'UTC') AS zone, lower(date_order) AS ord FROM synthetic_posts
+  LEFT JOIN (SELECT feed_id, min(coalesce(home_zone, 'UTC')) AS home_zone, min(date_order) AS date_order FROM feeds GROUP BY feed_id) USING (feed_id)),
+laid AS (SELECT *, string_split({_layout_sql()}, '|') AS p FROM raw),
+part AS (SELECT *, try_cast(p[1] AS INT) + CASE WHEN length(p[1]) > 2 THEN 0 WHEN try_cast(p[1] AS INT) < 70 THEN 2000 ELSE 1900 END AS y, coalesce(try_cast(p[2] AS INT), {_MONTH_SQL}) AS m,
+  try_cast(p[3] AS INT) AS d, try_cast(p[4] AS INT) AS h0, try_cast(p[5] AS INT) AS mi, CASE WHEN p[6] = '' THEN 0 ELSE try_cast(p[6] AS INT) END AS se,
+  coalesce(try_cast(substr(rpad(p[7], 6, '0'), 1, 6) AS INT), 0) AS frac, lower(substr(p[8], 1, 1)) AS half, p[9] AS z FROM laid),
+hour AS (SELECT *, CASE WHEN half = '' AND h0 < 24 THEN h0 WHEN half <> '' AND h0 BETWEEN 1 AND 12 THEN h0 % 12 + CASE WHEN half = 'p' THEN 12 ELSE 0 END END AS h FROM part),
+clock AS (SELECT *, CASE WHEN mi < 60 AND se < 60 THEN try_strptime(printf('%04d-%02d-%02d', y, m, d), '%Y-%m-%d') + to_seconds(h * 3600 + mi * 60 + se) END AS t FROM hour),
+guess AS (SELECT *, CASE WHEN z = '' THEN epoch(timezone(zone, t)) END AS g FROM clock),
+near AS (SELECT *, list_filter(list_transform({_BACK}, lambda k: CAST(g - k AS BIGINT)), lambda x: timezone(zone, to_timestamp(x)) = t) AS hits FROM guess),
+abbr(zone, z, off) AS (VALUES {_abbreviations()}),
+offs AS (SELECT n.*, CASE WHEN lower(n.z) IN ('z', 'utc', 'gmt', 'ut') THEN 0
+  WHEN regexp_matches(n.z, '^[+-]') THEN CASE WHEN coalesce(try_cast(substr(regexp_replace(n.z, '[^0-9]', '', 'g'), 3, 2) AS INT), 0) < 60 THEN
+    CASE WHEN n.z[1] = '-' THEN -1 ELSE 1 END * (try_cast(n.z[2:3] AS INT) * 3600 + coalesce(try_cast(substr(regexp_replace(n.z, '[^0-9]', '', 'g'), 3, 2) AS INT), 0) * 60) END
+  WHEN n.z <> '' THEN abbr.off END AS off FROM near n LEFT JOIN abbr ON abbr.zone = n.zone AND abbr.z = lower(n.z)),
+instants AS (SELECT source_row, post_id, created_at, CASE
+  WHEN regexp_matches(s, '^[+-]?\d{{1,14}}$') THEN CAST(s AS BIGINT) * CASE WHEN abs(CAST(s AS BIGINT)) < 100000000000 THEN 1000000 ELSE 1000 END
+  WHEN z = '' THEN CAST(coalesce(list_min(hits), g) AS BIGINT) * 1000000 + frac ELSE CAST(epoch(t) - off AS BIGINT) * 1000000 + frac END AS utc_micros,
+  CASE WHEN regexp_matches(s, '^[+-]?\d{{1,14}}$') THEN 'epoch' WHEN t IS NULL OR (z <> '' AND off IS NULL) OR z IS NULL THEN 'none' WHEN z <> '' THEN 'zoned'
+    WHEN len(hits) > 1 THEN 'ambiguous' WHEN len(hits) = 0 THEN 'skipped' ELSE 'local' END AS reading FROM offs)"""
+
+
+@query("p7_found", rf"WITH {INSTANTS} SELECT source_row, utc_micros FROM instants WHERE utc_micros IS NOT NULL AND NOT regexp_full_match(created_at, '\d{{4}}-\d\d-\d\dT\d\d:\d\d:\d\dZ')")
+def p7_found(spark, d):
+    return timestamps.noncanonical_instants(table(spark, d, "synthetic_posts"), table(spark, d, "feeds"))
+
+
+@query("p7_instants", f"WITH {INSTANTS} SELECT source_row, utc_micros, reading FROM instants")
+def p7_instants(spark, d):
+    return timestamps.normalise_timestamps(table(spark, d, "synthetic_posts"), table(spark, d, "feeds"))
+
+
+# --- the corpus engine's own operators -------------------------------------------------------------------------------
+
+
 @query("doc_tokens", f"SELECT doc_id, CAST(len({_t('text')}) AS BIGINT) AS n_tokens, array_to_string({_t('text')}, ' ') AS fingerprint FROM documents WHERE text IS NOT NULL")
 def doc_tokens(spark, d):
     docs = table(spark, d, "documents").where("text is not null")

@@ -112,3 +112,13 @@ def test_missing_feed_and_empty_tables(spark):
     feeds = spark.createDataFrame([], "feed_id string, home_zone string, date_order string")
     assert {r.utc_micros for r in normalise_timestamps(posts, feeds).collect()} == {1704067200000000}
     assert normalise_timestamps(posts.limit(0), feeds).count() == 0
+
+
+def test_any_number_of_junk_zone_names(spark):
+    feeds = [(f"f{i}", f"Nowhere/{i}", "ymd") for i in range(3000)] + [("z", "Pacific/Apia", "ymd"), ("a", "Africa/Abidjan", "ymd")]
+    feeds = spark.createDataFrame(feeds, "feed_id string, home_zone string, date_order string")
+    rows = [(1, "z", "2024-01-01 00:00:00"), (2, "a", "2024-01-01 00:00:00"), (3, "f7", "2024-01-01 00:00:00"), (4, "f7", "2024-01-01 00:00:00Z")]
+    posts = spark.createDataFrame(rows, "source_row bigint, feed_id string, created_at string")
+    got = {r.source_row: r.utc_micros for r in normalise_timestamps(posts, feeds).collect()}
+    day = 1704067200 * 10**6
+    assert got == {1: day - 13 * 3600 * 10**6, 2: day, 3: None, 4: day}
