@@ -87,6 +87,11 @@ def script_of(atom: str) -> str:
     return unicodedata.name(atom, "?").split()[0] if unicodedata.category(atom)[0] == "L" else ""
 
 
+def plain_shape(char: str) -> str:
+    """A code point in atoms of Latin shape: what the class of each atom holds if Latin is the frequent script."""
+    return "".join(SHAPED.get(a, a) for part in unicodedata.normalize("NFD", char) for a in atoms_of(part))
+
+
 def rewriting(counts: dict[str, int]) -> dict[str, str]:
     """Every code point that isn't its class's representative, with the representative."""
     classes = Classes()

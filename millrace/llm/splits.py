@@ -64,7 +64,7 @@ def assign_splits(posts: DataFrame, feeds: DataFrame, ratios: tuple[float, float
     times = normalise_timestamps(posts.where("post_id is not null"), feeds, keep=("post_id",))
     times = times.groupBy("post_id").agg(F.min("utc_micros").alias("at"))
     groups = member.join(times, "post_id").groupBy("group_id").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("n"))
-    groups = groups.withColumn("tie", F.xxhash64("group_id"))
+    groups = groups.withColumn("tie", F.md5("group_id"))
     total = member.count()
     groups = running_total(groups, ["at", "tie", "group_id"], "n", "before")
     middle = (F.col("before") + F.col("n") / 2) / F.lit(max(total, 1))
