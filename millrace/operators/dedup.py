@@ -26,13 +26,13 @@ def exact_duplicates(df: DataFrame, key: str, order: str, text: str = "text") ->
     """(key, duplicate_of) for every row with a text: null for the first of a fingerprint in ``order``.
 
     The fingerprint's first row comes from a partial aggregate and a join, so a fingerprint with a large share of the
-    rows isn't sorted in one task.
+    rows is neither sorted nor joined in one task.
     """
     rows = df.where(F.col(text).isNotNull()).select(
         F.col(key).alias("_k"), F.col(order).alias("_o"), F.unhex(F.md5(fingerprint(F.col(text)))).alias("_f")
     )
-    firsts = rows.groupBy("_f").agg(F.min(F.struct("_o", "_k")).alias("_first"))
-    out = rows.join(firsts, "_f")
+    firsts = stash(rows.groupBy("_f").agg(F.min(F.struct("_o", "_k")).alias("_first"), F.count(F.lit(1)).alias("_n")), "firsts")
+    out = salted_join(rows, firsts.drop("_n"), "_f", "_k", hot_values(firsts, "_f", "_n"))
     first = (F.col("_o") == F.col("_first._o")) & (F.col("_k") == F.col("_first._k"))
     return out.select(F.col("_k").alias(key), F.when(~first, F.col("_first._k")).alias("duplicate_of"))
 

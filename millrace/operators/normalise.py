@@ -43,6 +43,15 @@ def first_alias(record: Column, field: str) -> Column:
     return F.coalesce(*[F.nullif(json_value(record, a), F.lit("")) for a in ALIASES[field]])
 
 
+def first_present(record: Column, names: list[str]) -> Column:
+    """The value under the first of ``names`` that the record has, also where that is a JSON null."""
+    keys = F.json_object_keys(record)
+    out = json_value(record, names[-1])
+    for name in reversed(names[:-1]):
+        out = F.when(F.array_contains(keys, name), json_value(record, name)).otherwise(out)
+    return out
+
+
 def parse_time(raw: Column) -> Column:
     """A time in one of the accepted spellings as TIMESTAMP, UTC where no zone is given; null if unreadable."""
     s = strip(raw)
@@ -105,7 +114,8 @@ def normalise_posts(records: DataFrame, version: str = "none", urls: bool = True
 
     ``reason`` is null for readable posts; the others keep their source_ref and payload.
     """
-    r = F.col("payload")
+    # A payload that is no JSON is a record without fields.
+    r = F.when(F.try_parse_json("payload").isNotNull(), F.col("payload"))
     base = records.select(
         "source_ref",
         "payload",
@@ -117,11 +127,12 @@ def normalise_posts(records: DataFrame, version: str = "none", urls: bool = True
         strip(first_alias(r, "conversation_id")).alias("_conv"),
         first_alias(r, "in_reply_to_post_id").alias("_reply"),
         first_alias(r, "quoted_post_id").alias("_quoted"),
-        F.coalesce(*[json_value(r, a) for a in REFERENCES]).alias("_refs"),
-        F.coalesce(*[json_value(r, a) for a in ENTITIES]).alias("_entities"),
+        first_present(r, REFERENCES).alias("_refs"),
+        F.when(F.arrays_overlap(F.json_object_keys(r), F.lit(ENTITIES)), F.coalesce(first_present(r, ENTITIES), F.lit("null"))).alias("_entities"),
     )
     base = base.withColumn("_time", parse_time(F.col("_at")))
     missing = lambda c: F.coalesce(strip(F.col(c)), F.lit("")) == ""
+    # The reasons.
     reason = (
         F.when(missing("post_id"), "post_id is required")
         .when(missing("author_id"), F.concat(F.lit("post "), "post_id", F.lit(": author_id is required")))

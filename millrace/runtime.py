@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 #: A key value is hot when it has more rows than this; hot values are split over several tasks.
 HOT_ROWS = 50_000
-#: Most hot values whose numbers of rows are brought to the driver.
-HOT_KEYS = 1_000
 
 
 def session(app: str = "millrace", cores: str = "*", **conf: str) -> SparkSession:
@@ -129,26 +127,30 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def hot_values(counts: DataFrame, key: str, n: str, least: int = HOT_ROWS) -> dict:
-    """Hot key values with the number of slices each is cut into.
+def hot_values(counts: DataFrame, key: str, n: str, least: int | None = None) -> DataFrame | None:
+    """(key, _slices): the hot key values with the number of slices each is cut into; None if there is none.
 
-    At most ``HOT_KEYS`` values reach the driver: the threshold is raised until the bound holds, as there can be
-    no more than rows / threshold values above a threshold.
+    A value with more than ``least`` rows (``HOT_ROWS``) is hot, or with more than a share of all rows where that is
+    more: a task that holds less isn't the longest. So there are at most ``BROADCAST_ROWS`` hot values, at any size.
     """
-    rows = counts.where(F.col(n) > least).orderBy(F.desc(n)).limit(HOT_KEYS).select(key, n).collect()
-    return {r[0]: int(-(-r[1] // least)) for r in rows}
+    least = least or HOT_ROWS
+    total = counts.agg(F.sum(n), F.max(n)).collect()[0]
+    if not total[1] or total[1] <= least:
+        return None
+    least = max(least, -(-total[0] // BROADCAST_ROWS))
+    return counts.where(F.col(n) > least).select(key, F.ceil(F.col(n) / least).cast("int").alias("_slices"))
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, salt_by: str, hot: dict) -> DataFrame:
+def salted_join(big: DataFrame, small: DataFrame, key: str, salt_by: str, hot: DataFrame | None) -> DataFrame:
     """Inner join of ``big`` and ``small`` on ``key`` with the rows of the ``hot`` values spread over slices.
 
     ``salt_by`` names a column of ``big`` whose hash picks the slice; ``small`` is repeated per slice for hot
-    values only, so nothing else grows.
+    values only, so nothing else grows. ``hot`` comes from ``hot_values``, which bounds it for its broadcast.
     """
-    if not hot:
+    if hot is None:
         return big.join(small, key)
-    cuts = F.create_map(*[F.lit(x) for kv in hot.items() for x in kv])
-    slices = F.coalesce(F.try_element_at(cuts, F.col(key)), F.lit(1))
+    slices = F.coalesce("_slices", F.lit(1))
+    big, small = (side.join(F.broadcast(hot), key, "left") for side in (big, small))
     left = big.withColumn("_salt", F.pmod(F.xxhash64(salt_by), slices).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), slices - 1)))
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    return left.drop("_slices").join(right.drop("_slices"), [key, "_salt"]).drop("_salt")

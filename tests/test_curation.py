@@ -97,6 +97,19 @@ def test_normalisation_rules(spark):
     assert got["r0"].conversation_id == "5" and got["r0"].lang == "und"
 
 
+def test_the_first_key_that_is_there_wins(spark):
+    payloads = [
+        {"reference_types": None, "referenced_tweets": ["quoted"], "entities": None, "entities_json": {"a": 1}},
+        {"referenced_tweets": [{"type": "Quoted"}, "b"], "entities_json": {"a": 1}},
+        {"reference_types": '["x", "Y"]', "entities": "no json"},
+        {"reference_types": "p, q", "entities": [1]},
+    ]
+    raw = spark.createDataFrame([(f"r{i}", json.dumps(p)) for i, p in enumerate(payloads)] + [("r4", '{"entities": 1')], "source_ref string, payload string")
+    got = {r.source_ref: (r.reference_types, r.entities_json) for r in normalise_posts(raw).collect()}
+    want = [([], '{"value":null}'), (["b", "quoted"], '{"a":1}'), (["x", "y"], '{"unparsed":"no json"}'), (["p", "q"], '{"value":[1]}'), ([], "{}")]
+    assert got == {f"r{i}": w for i, w in enumerate(want)}
+
+
 def test_times(spark):
     df = spark.createDataFrame([("2024-01-01T00:00:00.5Z",), ("2024-01-01 01:00:00+0100",), ("20240101T000000Z",), ("2024-01-01",), ("2024-02-30",), (None,)], "s string")
     got = [r[0] for r in df.select(render_time(parse_time(df.s))).collect()]
@@ -142,6 +155,23 @@ def test_exact_duplicates_keep_the_first(spark):
     assert got == {1: None, 3: 1, 6: 1, 2: None, 4: 2}
 
 
+def test_joins_with_hot_values(spark, monkeypatch):
+    from millrace import runtime
+
+    monkeypatch.setattr(runtime, "HOT_ROWS", 10)
+    texts = ["the same words"] * 300 + ["another"] * 5 + [f"text {i}" for i in range(50)] + [None]
+    df = spark.createDataFrame([(i, t, f"{i:04}") for i, t in enumerate(texts)], "k bigint, text string, at string")
+    got = {r.k: r.duplicate_of for r in dedup.exact_duplicates(df, "k", "k").collect()}
+    assert got == {i: None if texts.index(t) == i else texts.index(t) for i, t in enumerate(texts) if t}
+    groups = {r.k: r.group for r in temporal_split.link_groups(df, "k", ["text"]).collect()}
+    assert groups == {i: texts.index(t) if t else i for i, t in enumerate(texts)}
+    counts = df.groupBy("text").count()
+    hot = runtime.hot_values(counts, "text", "count").collect()
+    assert [tuple(r) for r in hot] == [("the same words", 30)] and runtime.hot_values(counts, "text", "count", 1000) is None
+    salted = runtime.salted_join(df, counts, "text", "k", runtime.hot_values(counts, "text", "count"))
+    assert salted.count() == 355
+
+
 def test_split_of_few_groups_and_bridges(spark):
     def split(rows):
         df = spark.createDataFrame(rows, "k bigint, at string, a string, b string")
