@@ -5,16 +5,21 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Base of the rolling hash and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
-#: Cells of a count sketch, and the slices in which partial sketches are merged. Both are fixed sizes.
-CELLS, SLICES = 1 << 24, 64
+#: Most cells of a count sketch, hashes for each of them up to which it is used, and the slices in which partial
+#: sketches are merged. Beyond that load callers count exactly, by a shuffle.
+CELLS, LOAD, SLICES = 1 << 25, 64, 64
+#: Least cells of a sketch.
+FEWEST = 1 << 16
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -37,6 +42,72 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+@lru_cache(8)
+def _field(p: int) -> tuple[int, int]:
+    """A base of the prime field ``p`` and its inverse."""
+    base = 0x5851F42D % p
+    return base, pow(base, -1, p)
+
+
+_field_powers: dict[tuple[int, int], np.ndarray] = {}
+
+
+def field_powers(p: int, base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) in the prime field ``p`` (under 2**32), by doubling."""
+    have = _field_powers.get((p, base))
+    if have is None or len(have) < n:
+        have, step = np.ones(1, dtype=np.uint64), base
+        while len(have) < n:
+            have = np.concatenate([have, have * np.uint64(step) % np.uint64(p)])
+            step = step * step % p
+        _field_powers[p, base] = have
+    return have[:n]
+
+
+#: Prime fields of the second hash of a stretch.
+PRIMES = (4294967291, 4294967279)
+
+
+def field_hash(codes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Second hash of the stretches of ``size`` code points: polynomials over two prime fields."""
+    out = np.zeros(len(starts), dtype=np.uint64)
+    for p in PRIMES:
+        base, inverse = _field(p)
+        terms = (codes.astype(np.uint64) + np.uint64(1)) * field_powers(p, base, len(codes)) % np.uint64(p)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])  # below 2**64 for 2**32 characters
+        value = (sums[starts + size] - sums[starts]) % np.uint64(p) * field_powers(p, inverse, len(codes))[starts] % np.uint64(p)
+        out = (out << np.uint64(32)) | value
+    return out
+
+
+def digests(parts: list) -> np.ndarray:
+    """128-bit digest of each bytes-like part, as two words: equal digests are taken as equal parts."""
+    made = b"".join(blake2b(x, digest_size=16).digest() for x in parts)
+    return np.frombuffer(made, dtype=np.uint64).reshape(-1, 2)
+
+
+def text_digests(texts: list[str]) -> np.ndarray:
+    return digests([t.encode("utf-8", "surrogatepass") for t in texts])
+
+
+def binary16(words: np.ndarray) -> pa.Array:
+    """Two words for each row as a binary column."""
+    n = len(words)
+    offsets = np.arange(0, 16 * (n + 1), 16, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(words))])
+
+
+def fresh_rows(words: np.ndarray, seen: set[bytes], keep: np.ndarray) -> np.ndarray:
+    """True where ``keep`` and the digest comes up for the first time; remembers it."""
+    out = np.zeros(len(words), dtype=bool)
+    data = words.tobytes()
+    for i in np.flatnonzero(keep):
+        if (k := data[16 * i : 16 * i + 16]) not in seen:
+            seen.add(k)
+            out[i] = True
+    return out
+
+
 @lru_cache(1)
 def alnum_table() -> np.ndarray:
     """True for letters and digits (categories L and N), by code point."""
@@ -79,19 +150,33 @@ class Words:
     """Words (runs of letters and digits, case folded) of a batch: ``hash`` and ``doc`` of each, ``count`` by text."""
 
     def __init__(self, texts: list[str]) -> None:
-        codes, first = code_points([t.casefold() for t in texts])
-        inside = alnum_table()[codes].view(np.int8)
-        step = np.diff(inside, prepend=np.int8(0), append=np.int8(0))
+        codes, self.first = code_points([t.casefold() for t in texts])
+        inside = alnum_table()[codes]
+        step = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
         starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-        self.hash = stretch_hash(prefix_sums(value_table()[codes]), starts, ends)
-        self.doc = owners(first, starts)
+        self.doc = owners(self.first, starts)
         self.count = np.bincount(self.doc, minlength=len(texts))
         self.letters = np.bincount(self.doc, weights=ends - starts, minlength=len(texts)).astype(np.int64)
+        # A word's hash is the sum of a random-looking value of each character at its place in the word.
+        size = ends - starts
+        self.chars = codes[inside]
+        self.ends = np.cumsum(size)
+        place = np.arange(len(self.chars), dtype=np.uint64) - np.repeat((self.ends - size).astype(np.uint64), size)
+        sums = np.zeros(len(self.chars) + 1, dtype=np.uint64)
+        np.cumsum(mix(value_table()[self.chars] + place * np.uint64(BASE)), out=sums[1:])
+        self.hash = mix(sums[self.ends] - sums[self.ends - size] + size.astype(np.uint64))
 
     def sequence_key(self) -> np.ndarray:
-        """Hash of each text's sequence of words."""
-        ends = np.cumsum(self.count)
-        return stretch_hash(prefix_sums(self.hash), ends - self.count, ends)
+        """128-bit digest of each text's sequence of words."""
+        # Every word is followed by a line break, which is part of no word.
+        flat = np.full(len(self.chars) + len(self.hash), 10, dtype=np.uint32)
+        at = np.ones(len(flat), dtype=bool)
+        at[self.ends + np.arange(len(self.ends))] = False
+        flat[at] = self.chars
+        last = np.cumsum(self.count)
+        edge = np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=len(self.count), weights=np.diff(self.ends, prepend=0)).astype(np.int64))]) + np.concatenate([[0], last])
+        data = memoryview(flat).cast("B")
+        return digests([data[4 * a : 4 * b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())])
 
     def runs(self, n: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(text, hash) of all runs of ``n`` words of the texts where ``keep``, in order and with repeats."""
@@ -123,24 +208,37 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def count_sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], cells: int = CELLS) -> np.ndarray:
-    """How often each cell of a fixed-size table is hit by the hashes of the whole frame.
+def sketch_cells(hashes: int) -> int | None:
+    """Cells for so many hashes: a power of two with about one hash a cell; None where the load would be too high."""
+    if hashes > CELLS * LOAD:
+        return None
+    return min(CELLS, max(min(FEWEST, CELLS), 1 << max(0, hashes - 1).bit_length()))
+
+
+def total_length(column: DataFrame, text: str) -> int:
+    """Characters of the whole column."""
+    return int(column.agg(F.sum(F.length(text))).collect()[0][0] or 0)
+
+
+def count_sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], cells: int) -> np.ndarray:
+    """How often each cell of a table is hit by the hashes of the whole frame.
 
     One byte for each cell: 0 never, 1 once, and from there 1 + 8 times the binary logarithm of the count. Collisions
-    only make counts larger. Every task sends its cells compressed, slices are summed apart, and ``cells`` bytes reach
-    the driver, whatever the size of the data.
+    only make counts larger. Every task sends its cells compressed, slices are summed apart, and ``cells`` bytes (see
+    ``sketch_cells``) reach the driver.
     """
     import zstandard
 
     width = cells // SLICES
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(cells, dtype=np.uint32)
+        counts = np.zeros(cells, dtype=np.uint16)
         for batch in batches:
             hit = (hashes(batch) & np.uint64(cells - 1)).astype(np.int64)
             hit.sort()
             cell = np.flatnonzero(np.diff(hit, prepend=-1))
-            counts[hit[cell]] += np.diff(np.append(cell, len(hit))).astype(np.uint32)
+            more = counts[hit[cell]] + np.diff(np.append(cell, len(hit)))
+            counts[hit[cell]] = np.minimum(more, 65535).astype(np.uint16)
         pack = zstandard.ZstdCompressor(level=1).compress
         slices, blobs = [], []
         for s in range(SLICES):
@@ -150,7 +248,7 @@ def count_sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray],
                 gaps = np.diff(at, prepend=np.uint32(0)).astype(np.uint32)
                 slices.append(s)
                 # Bytes of equal weight side by side compress better.
-                planes = np.concatenate([gaps, part[at]]).view(np.uint8).reshape(-1, 4).T
+                planes = np.concatenate([gaps, part[at].astype(np.uint32)]).view(np.uint8).reshape(-1, 4).T
                 blobs.append(pack(np.ascontiguousarray(planes).tobytes()))
         yield pa.RecordBatch.from_pydict({"s": pa.array(slices, pa.int32()), "b": pa.array(blobs, pa.binary())})
 
@@ -176,13 +274,21 @@ def count_sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray],
     return table
 
 
-def column_sketch(df: DataFrame, column: str) -> np.ndarray:
-    """The sketch of a bigint column; its non-zero cells are a superset of the column's values."""
+def first_words(column: pa.Array) -> np.ndarray:
+    """The first word of each digest of a binary column."""
+    if len(column) == 0:
+        return np.zeros(0, np.uint64)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, 2)[:, 0]
 
-    def hashes(batch: pa.RecordBatch) -> np.ndarray:
-        return batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
-    return count_sketch(df.select(column).where(f"`{column}` is not null"), hashes)
+def digest_filter(digests: DataFrame, column: str):
+    """Broadcast table that is positive for the first words of all digests of ``column``, and some others; None where
+    they are too many for one."""
+    n = digests.count()
+    if 16 * n > CELLS * LOAD:
+        return None
+    rows = digests.select(column)
+    return shared_table(digests.sparkSession, count_sketch(rows, lambda b: first_words(b.column(0)), sketch_cells(16 * n)))
 
 
 _tables: dict[str, np.ndarray] = {}

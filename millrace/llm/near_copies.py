@@ -1,24 +1,28 @@
 """Posts that are nearly the same: pairs with a Jaccard similarity of word shingles of at least a threshold.
 
 Method: pivot distance tables. The set of a text's shingles is a point of a Hamming space with one coordinate for each
-possible shingle; the reference fingerprints (pivots) are fixed halves of that space, given by one bit of the
-shingle's hash. The distance of a text to a pivot is the pivot's size plus ``n - 2 * (shingles inside)``, so a table of
-the deviations of ``inside`` from ``n / 2`` is a table of distances, and by the triangle inequality twice the largest
-difference of two texts' deviations is at most their own distance. A pair of the wanted similarity has a distance of at
-most ``(1 - J) / (1 + J)`` times the sum of the sizes, so pairs with a larger coordinate difference are discarded
-without loss; the survivors are verified, first on their own fingerprints (the parities of their shingles in 128 cells,
-whose Hamming distance is at most the texts' distance), then on their whole texts.
+possible shingle. The reference fingerprints (pivots) are the empty fingerprint and ``PIVOTS`` fixed ones that hold the
+shingles whose hash has a certain bit set, that is, half of the space each. The distance of a text to the empty one is
+its size ``n``; to another pivot it is the pivot's size plus ``n - 2 * (shingles inside)``, so a table of the deviations
+of ``inside`` from ``n / 2`` is a table of distances, and by the triangle inequality the sizes' difference and twice the
+largest difference of two texts' deviations are at most their own distance. A pair of the wanted similarity has a
+distance of at most ``(1 - J) / (1 + J)`` times the sum of the sizes, so pairs with a larger coordinate difference are
+discarded without loss; nothing else discards a pair before the survivors are verified on their whole texts.
 
 A table of distances alone would have to be compared pair by pair. Pairs are therefore formed only where texts meet in
 their rarest shingles (prefix filtering, also without loss): two texts of the wanted similarity share one of the
-``n - ceil(J * n) + 1`` first shingles of either in one common order. The order is by frequency, rare first, from a
-count sketch over all texts. Where the first shared shingle is frequent, the next shared one is as frequent or more, so
-frequent shingles are used only in pairs, over a prefix longer by one; texts so small that one shared shingle is enough
-(one word over and over) use it alone, too. Shingles that the sketch has seen once
-are in no second text and are left out.
+``n - ceil(J * n) + 1`` first shingles of either in one common order. The order is by frequency in all texts, rare
+first; any order gives the same result, a good one few candidates. Where the first shared shingle is frequent, the next
+shared one is as frequent or more, so frequent shingles are used only in pairs, over a prefix longer by one; texts so
+small that one shared shingle is enough (one word over and over) use it alone, too. Shingles of one text only are left
+out.
 
-Texts with the same words are one class from the start; a class's pairs are spread to its posts at the end, where posts
-that are copies up to layout are left out. Nothing is capped or sampled.
+Frequencies come from a count sketch with about as many cells as shingles, and are exact, by a shuffle of the shingles,
+for corpora beyond ``kernels.LOAD`` shingles for each cell of the largest sketch. Only where they come from depends on
+the size; so a sketch that is too full never decides how many candidates there are.
+
+Texts with the same words are one class from the start, named by a 128-bit digest of the words; a class's pairs are
+spread to its posts at the end, where posts that are copies up to layout are left out. Nothing is capped or sampled.
 
 Defined results: null keys and texts, and texts with fewer than ``LEAST_WORDS`` words, are in no pair; repeated
 deliveries of a post count once; no post is paired with itself.
@@ -30,66 +34,82 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import copies
-from millrace.llm.kernels import Words, column_sketch, count_sketch, fresh, shared_table, texts_of
+from millrace.llm.kernels import Words, binary16, count_sketch, digest_filter, fresh, fresh_rows, shared_table, sketch_cells, texts_of, total_length
 from millrace.operators.components import connected_components
-from millrace.runtime import hot_values, salted_join, stash, unstash
+from millrace.runtime import hot_values, salted_join, shuffle_tasks, stash, unstash
 
 #: Words in a shingle, the least similarity as a fraction, and the least number of words of a text.
 SHINGLE, THRESHOLD, LEAST_WORDS = 3, (3, 5), 20
-#: Pivots: one byte for each in the table of distances.
-PIVOTS = 8
-#: Sketch value (1 + 8 log2 of the count) from which shingles are used in pairs only: about 2,000 occurrences.
-FREQUENT = 89
+#: Pivots beside the empty one, and how many of them a table column of 64 bits holds.
+PIVOTS, PACKED = 60, 10
+#: Bits of a deviation in the table, and the deviation stored as 0; further ones are stored as the outermost.
+BITS, ZERO = 64 // PACKED, -32
+#: Occurrences from which shingles are used in pairs only.
+FREQUENT = 2048
+TABLE = [f"t{i}" for i in range(PIVOTS // PACKED)]
+SENT = "k bigint, c binary, n int, " + ", ".join(f"{t} bigint" for t in TABLE)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _prefixes(batch_texts: list[str], sketch: np.ndarray, seen: set[int], setting: tuple) -> pa.RecordBatch:
+#: The four bits of a number under 16 in lanes of 16 bits.
+LANES = np.array([sum((x >> i & 1) << 16 * i for i in range(4)) for x in range(16)], dtype=np.uint64)
+
+
+def _pivot_table(value: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """Deviations from all pivots of the texts whose distinct shingles ``value`` stand one after the other."""
+    first = np.cumsum(size) - size
+    full = np.flatnonzero(size)
+    out = [np.zeros(len(size), dtype=np.uint64) for _ in TABLE]
+    if not len(full):
+        return out
+    wide = size[full].max() > 65535  # sums of so many don't fit into a lane
+    for p in range(0, PIVOTS, 4):
+        four = (value >> np.uint64(p)) & np.uint64(15)
+        lanes = None if wide else np.add.reduceat(LANES[four.astype(np.intp)], first[full])
+        for i in range(4):
+            bit = np.uint64(i)
+            inside = np.add.reduceat((four >> bit) & np.uint64(1), first[full]) if wide else (lanes >> np.uint64(16 * i)) & np.uint64(65535)
+            deviation = np.floor(inside - size[full] / 2) - ZERO
+            stored = np.clip(deviation, 0, (1 << BITS) - 1).astype(np.uint64)
+            out[(p + i) // PACKED][full] |= stored << np.uint64(BITS * ((p + i) % PACKED))
+    return out
+
+
+def _shingles_of(words: Words, setting: tuple, seen: set[bytes]) -> tuple:
+    """Digests of all texts, and (text, shingle) of the distinct shingles of texts not sent before by this task."""
+    n_words, _, least = setting
+    key = words.sequence_key()
+    send = fresh_rows(key, seen, words.count >= max(least, n_words))
+    return key, *words.shingles(n_words, send)
+
+
+def _prefixes(batch_texts: list[str], sketch: np.ndarray, seen: set[bytes], setting: tuple) -> pa.RecordBatch:
     n_words, (up, down), least = setting
     words = Words(batch_texts)
     key = words.sequence_key()
-    keep = words.count >= max(least, n_words)
-    send = np.zeros(len(keep), dtype=bool)
-    for i in np.flatnonzero(keep):
-        if (k := int(key[i])) not in seen:  # a class is sent once from each task
-            seen.add(k)
-            send[i] = True
-    doc, value = words.runs(n_words, send)
+    doc, value = words.runs(n_words, fresh_rows(key, seen, words.count >= max(least, n_words)))  # a class once from each task
     level = sketch[(value & np.uint64(len(sketch) - 1)).astype(np.int64)]
     order = np.lexsort((value, level, doc))  # equal shingles have equal levels, so they stand together
     doc, value, level = doc[order], value[order], level[order]
     new = fresh(doc, value)
     doc, value, level = doc[new], value[new], level[new]
     size = np.bincount(doc, minlength=len(batch_texts))
-    # Table of distances: deviation of the shingles inside each pivot from half of the text's shingles.
-    first = np.concatenate([[0], np.cumsum(size)])
-    table = np.zeros(len(batch_texts), dtype=np.uint64)
-    for p in range(PIVOTS):
-        bits = ((value >> np.uint64(40 + p)) & np.uint64(1)).astype(np.int64)
-        total = np.concatenate([[0], np.cumsum(bits)])
-        inside = total[first[1:]] - total[first[:-1]]
-        deviation = np.clip(np.floor(inside - size / 2) + 128, 0, 255).astype(np.uint64)
-        table |= deviation << np.uint64(8 * p)
-    # Fingerprint: the parity of the text's shingles in each of 128 cells, as two words.
-    prints = np.zeros((2, len(batch_texts)), dtype=np.uint64)
-    full = np.flatnonzero(size)
-    if len(full):
-        bit = np.uint64(1) << (value & np.uint64(63))
-        upper = ((value >> np.uint64(6)) & np.uint64(1)).astype(bool)
-        for half in (0, 1):
-            prints[half][full] = np.bitwise_xor.reduceat(np.where(upper == bool(half), bit, np.uint64(0)), first[full])
-    place = np.arange(len(doc)) - first[doc]
+    table = _pivot_table(value, size)
+    place = np.arange(len(doc)) - (np.cumsum(size) - size)[doc]
     prefix = size - (-(-up * size // down)) + 1
     tiny = size * up <= down  # such texts can meet in one shingle alone, and only with each other
-    single = (place < prefix[doc]) & (level > 1) & ((level < FREQUENT) | tiny[doc])
+    frequent = level >= 1 + int(8 * np.log2(FREQUENT))
+    single = (place < prefix[doc]) & (level > 1) & (~frequent | tiny[doc])
     keys, owner = [value[single]], [doc[single]]
-    often = np.flatnonzero((place < (prefix + 1)[doc]) & (level >= FREQUENT))
+    often = np.flatnonzero((place < (prefix + 1)[doc]) & frequent)
     for step in range(1, int(prefix.max(initial=0)) + 1):
         a = often[: len(often) - step]
         b = often[step:]
@@ -100,43 +120,89 @@ def _prefixes(batch_texts: list[str], sketch: np.ndarray, seen: set[int], settin
         keys.append(value[a] * np.uint64(0x9E3779B97F4A7C15) + (value[b] ^ np.uint64(0x5851F42D4C957F2D)))
         owner.append(doc[a])
     k, o = np.concatenate(keys), np.concatenate(owner)
-    return pa.RecordBatch.from_arrays(
-        [_signed(k), _signed(key[o]), pa.array(size[o].astype(np.int32)), _signed(table[o]), *[_signed(x[o]) for x in prints]],
-        names=["k", "c", "n", "t", "f", "g"],
-    )
+    return pa.RecordBatch.from_arrays([_signed(k), binary16(key[o]), pa.array(size[o].astype(np.int32)), *[_signed(t[o]) for t in table]], names=["k", "c", "n", *TABLE])
+
 
+def _counted_prefixes(column: DataFrame, setting: tuple) -> DataFrame:
+    """The rows of ``_prefixes`` for all texts with exact document frequencies: shingles are counted by a shuffle, joined
+    back with frequent ones in slices, and put in order for each class, which holds as much as its text."""
+    up, down = setting[1]
 
-def _coordinate(table: str, p: int) -> Column:
-    return F.shiftrightunsigned(F.col(table), 8 * p).bitwiseAND(F.lit(255))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            texts = texts_of(batch.column(0))
+            key, doc, value = _shingles_of(Words(texts), setting, seen)
+            size = np.bincount(doc, minlength=len(texts))
+            sent = np.flatnonzero(size)
+            offsets = np.concatenate([[0], np.cumsum(size[sent])]).astype(np.int32)
+            sets = pa.ListArray.from_arrays(pa.array(offsets), _signed(value))
+            table = _pivot_table(value, size)
+            yield pa.RecordBatch.from_arrays([sets, binary16(key[sent]), pa.array(size[sent].astype(np.int32)), *[_signed(t[sent]) for t in table]], names=["s", "c", "n", *TABLE])
+
+    sets = column.mapInArrow(run, "s array<bigint>, " + SENT.split(", ", 1)[1])
+    sets = stash(sets.groupBy("c").agg(*[F.first(x).alias(x) for x in ("s", "n", *TABLE)]), "sets")
+    each = sets.select("c", F.explode("s").alias("h"))
+    counts = stash(each.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1"), "counts")
+    met = salted_join(each, counts, "h", "c", hot_values(counts, "h", "d"))
+    lists = met.groupBy("c").agg(F.array_sort(F.collect_list(F.struct("d", "h"))).alias("l")).join(sets.drop("s"), "c")
+    # Shingles of one text only would come first; the rest of the prefix is a slice of the list.
+    n = F.col("n").cast("bigint")
+    prefix = n - F.ceil(n * up / down) + 1 - (n - F.size("l"))
+    lists = lists.withColumn("p", F.greatest(prefix, F.lit(0)).cast("int")).where("p > 0")
+    tiny = F.col("n") * up <= down
+    rare = F.transform(F.filter(F.slice("l", 1, F.col("p")), lambda x: (x["d"] < FREQUENT) | tiny), lambda x: x["h"])
+    often = F.filter(F.transform(F.slice("l", 1, F.col("p") + 1), lambda x, i: F.struct(x["d"].alias("d"), x["h"].alias("h"), i.alias("i"))), lambda x: x["d"] >= FREQUENT)
+    lists = lists.withColumn("o", often)
+    after = lambda x: F.transform(F.filter("o", lambda y: y["i"] > x["i"]), lambda y: F.xxhash64(x["h"], y["h"]))
+    both = F.flatten(F.transform(F.filter("o", lambda x: x["i"] < F.col("p")), after))
+    return lists.select(F.explode(F.concat(rare, both)).alias("k"), "c", "n", *TABLE)
+
+
+def _coordinate(side: str, p: int) -> Column:
+    return F.shiftrightunsigned(F.col(TABLE[p // PACKED] + side), BITS * (p % PACKED)).bitwiseAND(F.lit((1 << BITS) - 1))
+
+
+def not_discarded(up: int, down: int) -> Column:
+    """Whether no pivot's coordinates rule out the wanted similarity of the sides a and b."""
+    bound = (F.col("na") + F.col("nb")) * (down - up) / (down + up)
+    near = F.abs(F.col("na") - F.col("nb")) <= bound
+    for first in range(0, PIVOTS, PACKED):
+        far = F.greatest(*[F.abs(_coordinate("a", p) - _coordinate("b", p)) for p in range(first, first + PACKED)])
+        near = near & (2 * far - 2 <= bound)
+    return near
 
 
-def candidate_classes(posts: DataFrame, setting: tuple, text: str = "text") -> DataFrame:
-    """(ca, cb), ca < cb: classes whose pivot distances don't rule out the wanted similarity."""
+def keyed_classes(posts: DataFrame, setting: tuple, text: str = "text") -> DataFrame:
+    """(k, c, n, table): the keys under which each class looks for near ones, once each."""
     spark = posts.sparkSession
-    n_words, (up, down), least = setting
+    n_words, _, least = setting
     column = posts.select(text).where(F.col(text).isNotNull())
+    length = total_length(column, text)
+    cells = sketch_cells(length // 6)  # a shingle for each word
+    if cells is None:
+        return _counted_prefixes(column, setting)
 
     def hashes(batch: pa.RecordBatch) -> np.ndarray:
         words = Words(texts_of(batch.column(0)))
         return words.runs(n_words, words.count >= max(least, n_words))[1]
 
-    sketch = shared_table(spark, count_sketch(column, hashes))
+    sketch = shared_table(spark, count_sketch(column, hashes, cells))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = sketch(), set()
         for batch in batches:
             yield _prefixes(texts_of(batch.column(0)), table, seen, setting)
 
-    sent = column.mapInArrow(run, "k bigint, c bigint, n int, t bigint, f bigint, g bigint").repartition("k")
-    sent = sent.groupBy("k", "c").agg(*[F.first(x).alias(x) for x in "ntfg"])
-    a, b = (sent.select("k", *[F.col(x).alias(x + side) for x in "cntfg"]) for side in "ab")
-    # Distance at most (1 - J) / (1 + J) of the sizes' sum; the pivot of no shingles gives the difference of sizes.
-    bound = (F.col("na") + F.col("nb")) * (down - up) / (down + up)
-    far = F.greatest(*[F.abs(_coordinate("ta", p) - _coordinate("tb", p)) for p in range(PIVOTS)])
-    near = (2 * far - 2 <= bound) & (F.abs(F.col("na") - F.col("nb")) <= bound)
-    apart = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) + F.bit_count(F.col("ga").bitwiseXOR(F.col("gb")))
-    near = near & (apart <= bound)
-    return a.join(b, "k").where((F.col("ca") < F.col("cb")) & near).select("ca", "cb").distinct()
+    sent = column.mapInArrow(run, SENT)
+    return sent.repartition(shuffle_tasks(spark, 4 * length), "k").groupBy("k", "c").agg(*[F.first(x).alias(x) for x in ("n", *TABLE)])
+
+
+def candidate_classes(posts: DataFrame, setting: tuple, text: str = "text") -> DataFrame:
+    """(ca, cb), ca < cb: classes that meet under a key and that no pivot rules out."""
+    sent = keyed_classes(posts, setting, text)
+    a, b = (sent.select("k", *[F.col(x).alias(x + side) for x in ("c", "n", *TABLE)]) for side in "ab")
+    return a.join(b, "k").where((F.col("ca") < F.col("cb")) & not_discarded(*setting[1])).select("ca", "cb").distinct()
 
 
 def _verify(n_words: int, up: int, down: int):
@@ -175,24 +241,26 @@ def near_classes(
     posts = posts.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where("_key is not null and _text is not null")
     pairs = stash(candidate_classes(posts, setting, "_text"), "candidates")
     involved = pairs.select(F.explode(F.array("ca", "cb")).alias("c"))
-    wanted = shared_table(spark, column_sketch(involved, "c"))
+    wanted = digest_filter(involved, "c")
     kind = dict(posts.dtypes)["_key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = wanted()
+        table = wanted() if wanted else None
         for batch in batches:
             words = Words(texts_of(batch.column(1)))
             c = words.sequence_key()
-            inside = table[(c & np.uint64(len(table) - 1)).astype(np.int64)] > 0
-            keep = (words.count >= max(least_words, shingle)) & (inside | (words.letters < 2 * copies.LEAST))
-            out = pa.RecordBatch.from_arrays([batch.column(0), _signed(c), batch.column(1)], names=["_key", "c", "_text"])
+            keep = words.count >= max(least_words, shingle)
+            if table is not None:
+                inside = table[(c[:, 0] & np.uint64(len(table) - 1)).astype(np.int64)] > 0
+                keep &= inside | (words.letters < 2 * copies.LEAST)
+            out = pa.RecordBatch.from_arrays([batch.column(0), binary16(c), batch.column(1)], names=["_key", "c", "_text"])
             yield out.filter(pa.array(keep))
 
-    members = stash(posts.mapInArrow(run, f"_key {kind}, c bigint, _text string"), "members")
+    members = stash(posts.mapInArrow(run, f"_key {kind}, c binary, _text string"), "members")
     texts = members.groupBy("c").agg(F.min("_text").alias("text"))
     ab = pairs.join(texts.select(F.col("c").alias("ca"), F.col("text").alias("ta")), "ca")
     ab = ab.join(texts.select(F.col("c").alias("cb"), F.col("text").alias("tb")), "cb").select("ca", "cb", "ta", "tb")
-    good = stash(ab.mapInArrow(_verify(shingle, *threshold), "ca bigint, cb bigint, both bigint, either bigint"), "near")
+    good = stash(ab.mapInArrow(_verify(shingle, *threshold), "ca binary, cb binary, both bigint, either bigint"), "near")
     unstash(pairs)
     digests = members.withColumns(copies.canonical_columns("_text")).withColumns(copies.digest_columns())
     long = F.length("_plain") >= copies.LEAST
@@ -221,10 +289,11 @@ def post_classes(posts: DataFrame, key: str = "post_id", text: str = "text", lea
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = Words(texts_of(batch.column(1)))
-            c = pa.array(words.sequence_key().view(np.int64), mask=words.count < least_words)
+            c = binary16(words.sequence_key())
+            c = pc.if_else(pa.array(words.count >= least_words), c, pa.scalar(None, pa.binary()))
             yield pa.RecordBatch.from_arrays([batch.column(0), c], names=["_key", "c"])
 
-    found = posts.withColumn("_text", F.coalesce("_text", F.lit(""))).mapInArrow(run, f"_key {kind}, c bigint")
+    found = posts.withColumn("_text", F.coalesce("_text", F.lit(""))).mapInArrow(run, f"_key {kind}, c binary")
     return found.groupBy("_key").agg(F.collect_set("c").alias("cs")).withColumnRenamed("_key", key)
 
 

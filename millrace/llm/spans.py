@@ -9,13 +9,15 @@ than ``BLOCK`` characters is never joined. The last round's symbols are the bloc
 
 Blocks reveal repeats: a span of ``LEAST`` characters that holds a block reaches at least ``SIDE`` characters beyond
 it on one side, so the block is named once more together with these characters on the left, and once with those on the
-right; texts that share a span share one of both names. Names that a count sketch has seen once are in no second text
-and aren't sent. Shared names of up to ``PAIRED`` texts are verified in pairs of texts on the diagonal that
-the names give, character by character; for a name in more texts, every window of ``LEAST`` characters around it is
-named and grouped instead, so the work stays linear in the group.
+right; texts that share a span share one of both names. Names that a count sketch (about a cell for each name, up to a limit
+from which all names are sent) has seen once are in no second text and aren't sent. Shared names of up to ``PAIRED``
+texts are verified in pairs of texts on the diagonal that the names give, character by character; for a name in more
+texts, every window of ``LEAST`` characters around it is grouped instead, so the work stays linear in the group. Windows
+are equal if two hashes of different kinds are, 128 bits in all. Both ways give the same stretches.
 
-A copied text is looked at once, whatever the number of its copies: whole texts found in two records are shared as a
-whole. Nothing is capped or sampled.
+A copied text is looked at once, whatever the number of its copies: whole texts found in two records, by a 128-bit
+digest, are shared as a whole. Names and windows in a large share of the texts are counted and joined in slices. Nothing
+is capped or sampled.
 
 Defined results: null keys and texts give no row, nor do texts shorter than ``LEAST``; repeated deliveries of one
 record aren't another record; touching spans are one stretch; positions count code points.
@@ -30,21 +32,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace import runtime
 from millrace.llm.kernels import (
     BASE,
     alnum_table,
+    binary16,
     code_points,
-    column_sketch,
     count_sketch,
+    digest_filter,
+    field_hash,
+    fresh_rows,
     mix,
     owners,
     prefix_sums,
     shared_table,
+    sketch_cells,
     stretch_hash,
+    text_digests,
     texts_of,
+    total_length,
     value_table,
 )
-from millrace.runtime import release, stash, unstash
+from millrace.runtime import bounded_broadcast, hot_values, salted_join, shuffle_tasks, stash, unstash
 
 #: Characters of a span, the longest block and the rounds of naming.
 LEAST, BLOCK, ROUNDS = 120, 32, 7
@@ -129,12 +138,6 @@ def names(texts: list[str], want: np.ndarray | None = None):
     return name, owner, start - first[owner], stop - start
 
 
-def text_keys(texts: list[str]) -> np.ndarray:
-    """Hash of each whole text."""
-    codes, first = code_points(texts)
-    return stretch_hash(prefix_sums(value_table()[codes]), first[:-1], first[1:] - 1)
-
-
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -143,36 +146,53 @@ def _shared_names(posts: DataFrame) -> DataFrame:
     """(k, c, p, l, m): names k found in m > 1 texts c, with position and length."""
     spark = posts.sparkSession
     column = posts.select("_text")
-    sketch = shared_table(spark, count_sketch(column, lambda b: names(texts_of(b.column(0)))[0]))
+    length = total_length(column, "_text")
+    cells = sketch_cells(length // 6)
+    sketch = shared_table(spark, count_sketch(column, lambda b: names(texts_of(b.column(0)))[0], cells)) if cells else None
+    hot = runtime.HOT_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = sketch(), set()
+        table, seen = sketch() if sketch else None, set()
         for batch in batches:
             texts = texts_of(batch.column(0))
-            c = text_keys(texts)
-            fresh = np.zeros(len(texts), dtype=bool)
-            for i, k in enumerate(c.tolist()):
-                if k not in seen:  # a text is sent once from each task
-                    seen.add(k)
-                    fresh[i] = True
-            name, owner, at, size = names(texts, fresh)
-            keep = table[(name & np.uint64(len(table) - 1)).astype(np.int64)] > 1
-            name, owner, at, size = name[keep], owner[keep], at[keep], size[keep]
+            c = text_digests(texts)
+            name, owner, at, size = names(texts, fresh_rows(c, seen, np.ones(len(texts), dtype=bool)))  # a text once from each task
+            slices = np.ones(len(name), dtype=np.uint64)
+            if table is not None:
+                level = table[(name & np.uint64(len(table) - 1)).astype(np.int64)]
+                keep = level > 1
+                name, owner, at, size = name[keep], owner[keep], at[keep], size[keep]
+                slices = np.ceil(np.exp2((level[keep] - 1.0) / 8) / hot).astype(np.uint64)
+            salt = (c[owner, 0] % slices).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [_signed(name), _signed(c[owner]), pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32))], names=["k", "c", "p", "l"]
+                [_signed(name), pa.array(slices.astype(np.int32)), pa.array(salt), binary16(c[owner]), pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32))],
+                names=["k", "z", "s", "c", "p", "l"],
             )
 
-    sent = column.mapInArrow(run, "k bigint, c bigint, p int, l int").repartition("k")
-    sent = sent.groupBy("k", "c", "p").agg(F.first("l").alias("l"))
-    whole = Window.partitionBy("k")
-    sent = sent.withColumns({"m": F.count(F.lit(1)).over(whole), "_a": F.min("c").over(whole), "_b": F.max("c").over(whole)})
-    return sent.where("_a <> _b").select("k", "c", "p", "l", "m")
+    # z slices of a name, of which s is one: a name in a large share of the texts isn't counted in one task.
+    sent = column.mapInArrow(run, "k bigint, z int, s int, c binary, p int, l int")
+    if not sketch:
+        often = hot_values(sent.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "k", "n")
+        if often is not None:
+            sent = sent.join(F.broadcast(often), "k", "left").withColumn("z", F.coalesce("_slices", F.lit(1))).drop("_slices")
+            sent = sent.withColumn("s", F.pmod(F.xxhash64("c"), "z").cast("int"))
+    sent = sent.repartition(shuffle_tasks(spark, 4 * length), "k", "s").groupBy("k", "s", "z", "c", "p").agg(F.first("l").alias("l"))
+    whole = Window.partitionBy("k", "s")
+    counted = {"m": F.count(F.lit(1)), "_a": F.min("c"), "_b": F.max("c")}
+    sent = stash(sent.withColumns({n: x.over(whole) for n, x in counted.items()}).where("_a <> _b or z > 1").drop("_a", "_b"), "names")
+    sliced = sent.where("z > 1").drop("m")
+    if sliced.isEmpty():
+        return sent
+    total = stash(sliced.groupBy("k").agg(*[x.alias(n) for n, x in counted.items()]).where("_a <> _b").select("k", "m"), "totals")
+    out = sent.where("z = 1").unionByName(sliced.join(bounded_broadcast(total), "k").select(*sent.columns))
+    out._millrace_path = sent._millrace_path
+    return out
 
 
 def _equal_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of at least ``LEAST`` equal characters of two texts along a diagonal, on both texts."""
     for batch in batches:
-        ca, cb, diagonal = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
+        ca, cb, diagonal = batch.column(0), batch.column(1), batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
         (xa, fa), (xb, fb) = (code_points(texts_of(batch.column(i))) for i in (3, 4))
         na, nb = np.diff(fa) - 1, np.diff(fb) - 1
         begin = np.maximum(0, diagonal)
@@ -194,21 +214,20 @@ def _equal_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pair[starts] if len(starts) else np.zeros(0, np.int64)
         s = i[starts] if len(starts) else np.zeros(0, np.int64)
         e = s + (ends - starts)
-        c = np.concatenate([ca[p], cb[p]])
-        o = np.concatenate([cb[p], ca[p]])
+        ca, cb = ca.take(pa.array(p)), cb.take(pa.array(p))
+        c, o = pa.concat_arrays([ca, cb]), pa.concat_arrays([cb, ca])
         s, e = np.concatenate([s, s - diagonal[p]]), np.concatenate([e, e - diagonal[p]])
-        yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(o), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], names=["c", "o", "s", "e"])
+        yield pa.RecordBatch.from_arrays([c, o, pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], names=["c", "o", "s", "e"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Names of all windows of ``LEAST`` characters that hold one of a text's crowded names."""
+    """Both hashes of all windows of ``LEAST`` characters that hold one of a text's crowded names."""
     for batch in batches:
         texts = texts_of(batch.column(1))
         codes, first = code_points(texts)
         sums = prefix_sums(value_table()[codes])
         marks = batch.column(2).to_pylist()
         out_c, out_w = [], []
-        c = batch.column(0).to_numpy(zero_copy_only=False)
         for i, spots in enumerate(marks):
             n = int(first[i + 1] - first[i] - 1)
             delta = np.zeros(n + 2, dtype=np.int64)
@@ -223,7 +242,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = np.concatenate(out_w) if out_w else np.zeros(0, np.int64)
         i = np.concatenate(out_c).astype(np.int64) if out_c else np.zeros(0, np.int64)
         h = stretch_hash(sums, w, w + LEAST) if len(w) else np.zeros(0, np.uint64)
-        yield pa.RecordBatch.from_arrays([_signed(h), pa.array(c[i]), pa.array((w - first[i]).astype(np.int32))], names=["h", "c", "w"])
+        both = np.stack([h, field_hash(codes, w, LEAST)], axis=1)
+        yield pa.RecordBatch.from_arrays([binary16(both), batch.column(0).take(pa.array(i)), pa.array((w - first[i]).astype(np.int32))], names=["h", "c", "w"])
 
 
 def shared_stretches(posts: DataFrame, key: str = "post_id", text: str = "text") -> DataFrame:
@@ -233,21 +253,21 @@ def shared_stretches(posts: DataFrame, key: str = "post_id", text: str = "text")
     posts = posts.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where(
         F.col(key).isNotNull() & (F.length(text) >= LEAST)
     )
-    shared = stash(_shared_names(posts), "names")
-    wanted = shared_table(spark, column_sketch(shared, "c"))
+    shared = _shared_names(posts)
+    wanted = digest_filter(stash(shared.select("c").distinct(), "involved"), "c")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = wanted()
+        table = wanted() if wanted else None
         for batch in batches:
             texts = batch.column(1)
-            c = text_keys(texts_of(texts))
-            inside = table[(c & np.uint64(len(table) - 1)).astype(np.int64)] > 0
+            c = text_digests(texts_of(texts))
+            inside = np.ones(len(c), dtype=bool) if table is None else table[(c[:, 0] & np.uint64(len(table) - 1)).astype(np.int64)] > 0
             n = pa.array(np.fromiter((len(t or "") for t in texts.to_pylist()), dtype=np.int32, count=batch.num_rows))
             sent = pa.array([t if k else None for t, k in zip(texts.to_pylist(), inside)], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), _signed(c), n, sent], names=["_key", "c", "n", "_text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), binary16(c), n, sent], names=["_key", "c", "n", "_text"])
 
     # Who has which text: keys for all, the text itself only where a name is shared.
-    owners = posts.mapInArrow(run, f"_key {kind}, c bigint, n int, _text string")
+    owners = posts.mapInArrow(run, f"_key {kind}, c binary, n int, _text string")
     owners = stash(owners, "owners")
     classes = stash(
         owners.groupBy("c").agg(F.min("_key").alias("k1"), F.max("_key").alias("k2"), F.max("n").alias("n"))
@@ -261,7 +281,7 @@ def shared_stretches(posts: DataFrame, key: str = "post_id", text: str = "text")
     pairs = a.join(b, "k").where("ca < cb").select("ca", "cb", (F.col("pa") - F.col("pb")).alias("d")).distinct()
     pairs = pairs.join(texts.select(F.col("c").alias("ca"), F.col("text").alias("ta")), "ca")
     pairs = pairs.join(texts.select(F.col("c").alias("cb"), F.col("text").alias("tb")), "cb").select("ca", "cb", "d", "ta", "tb")
-    runs = pairs.mapInArrow(_equal_runs, "c bigint, o bigint, s int, e int").distinct()
+    runs = pairs.mapInArrow(_equal_runs, "c binary, o binary, s int, e int").distinct()
     # Two texts of one and the same record don't share in the sense meant here.
     own = classes.select("c", F.col("k1").alias("x1"), F.col("k2").alias("x2"))
     other = classes.select(F.col("c").alias("o"), F.col("k1").alias("y1"), F.col("k2").alias("y2"))
@@ -273,12 +293,12 @@ def shared_stretches(posts: DataFrame, key: str = "post_id", text: str = "text")
     else:
         runs = runs.join(own, "c").join(other, "o").where("not (x1 = x2 and y1 = y2 and x1 = y1)").select("c", "s", "e")
     spots = many.groupBy("c").agg(F.collect_set(F.struct("p", "l")).alias("spots"))  # places within one text
-    windows = spots.join(texts, "c").select("c", "text", "spots").mapInArrow(_windows, "h bigint, c bigint, w int")
-    met = windows.groupBy("h").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("h")
-    crowded = windows.join(met, "h").select("c", F.col("w").alias("s"), (F.col("w") + LEAST).alias("e"))
+    windows = spots.join(texts, "c").select("c", "text", "spots").mapInArrow(_windows, "h binary, c binary, w int")
+    met = windows.groupBy("h").agg(F.min("c").alias("a"), F.max("c").alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
+    met = stash(met.select("h", "n"), "met")
+    crowded = salted_join(windows, met.select("h"), "h", "c", hot_values(met, "h", "n")).select("c", F.col("w").alias("s"), (F.col("w") + LEAST).alias("e"))
     spans = stash(runs.unionByName(twice).unionByName(crowded).distinct(), "spans")
-    unstash(shared, texts)
-    release(spark)
+    unstash(shared, texts, met)
     order = Window.partitionBy("c").orderBy("s", "e")
     reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = spans.withColumn("_new", F.when(F.col("s") <= reach, 0).otherwise(1))

@@ -87,6 +87,20 @@ def test_near_pairs_through_frequent_shingles_only(spark, posts, monkeypatch):
     assert {tuple(r) for r in near_copies.found_pairs(posts).collect()} == want
 
 
+@pytest.mark.parametrize("frequent", [near_copies.FREQUENT, 3])
+def test_near_pairs_with_exact_counts(spark, posts, monkeypatch, frequent):
+    """What happens beyond the largest sketch, here one of 2**8 cells."""
+    setting = (near_copies.SHINGLE, near_copies.THRESHOLD, near_copies.LEAST_WORDS)
+    before = near_copies.candidate_classes(posts, setting).count()
+    monkeypatch.setattr(kernels, "CELLS", 1 << 8)
+    monkeypatch.setattr(near_copies, "FREQUENT", frequent)
+    assert kernels.sketch_cells(100_000) is None
+    assert near_copies.candidate_classes(posts, setting).count() <= before
+    want = brute_near(texts_by_post(posts))
+    got = [tuple(r) for r in near_copies.found_pairs(posts).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
 def test_near_cases(spark):
     base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
     short = "a b c d e f g h i j k l m n o p q r s t"  # twenty words, under forty letters
@@ -98,12 +112,23 @@ def test_near_cases(spark):
     assert near_copies.found_pairs(frame(spark, []).limit(0)).count() == 0
 
 
-def test_near_pairs_of_one_word_repeated(spark):
+def test_near_pairs_of_one_word_repeated(spark, monkeypatch):
     rows = [("p1", "x " * 20_000), ("p2", "x " * 20_001), ("p3", "x y " * 20_000)] + [(f"h{i:03}", "ha " * (20 + i)) for i in range(120)]
     names = [f"h{i:03}" for i in range(120)]
     want = {("p1", "p2")} | {(a, b) for a in names for b in names if a < b}
     got = [tuple(r) for r in near_copies.found_pairs(frame(spark, rows)).collect()]
     assert set(got) == want and len(got) == len(want)
+    monkeypatch.setattr(kernels, "CELLS", 1 << 8)
+    monkeypatch.setattr(near_copies, "FREQUENT", 10)
+    assert {tuple(r) for r in near_copies.found_pairs(frame(spark, rows)).collect()} == want
+
+
+def test_near_pairs_of_texts_with_equal_shingles(spark):
+    order = [0]
+    while len(order) < 4096:
+        order += [1 - x for x in order]
+    rows = [("p1", " ".join(["ax", "bx"][x] for x in order)), ("p2", " ".join(["ax", "bx"][1 - x] for x in order))]
+    assert [tuple(r) for r in near_copies.found_pairs(frame(spark, rows)).collect()] == [("p1", "p2")]
 
 
 def test_groups_hold_every_post(spark):
@@ -145,10 +170,13 @@ def test_pivots_never_rule_out_a_near_pair():
         a = {rng.getrandbits(64) for _ in range(rng.randint(1, 80))}
         b = set(list(a)[: max(1, int(len(a) * rng.uniform(0.5, 1)))]) | {rng.getrandbits(64) for _ in range(rng.randint(0, 30))}
         distance = len(a ^ b)
+        assert abs(len(a) - len(b)) <= distance
+        table = near_copies._pivot_table(np.array([*a, *b], dtype=np.uint64), np.array([len(a), len(b)]))
         for p in range(near_copies.PIVOTS):
-            inside = [sum(x >> (40 + p) & 1 for x in s) for s in (a, b)]
-            dev = [max(0, min(255, math.floor(i - len(s) / 2) + 128)) for i, s in zip(inside, (a, b))]
-            assert 2 * abs(dev[0] - dev[1]) - 2 <= distance
+            stored = (table[p // near_copies.PACKED] >> np.uint64(near_copies.BITS * (p % near_copies.PACKED))) & np.uint64(63)
+            inside = [sum(x >> p & 1 for x in s) for s in (a, b)]
+            assert [int(x) for x in stored] == [max(0, min(63, math.floor(i - len(s) / 2) + 32)) for i, s in zip(inside, (a, b))]
+            assert 2 * abs(int(stored[0]) - int(stored[1])) - 2 <= distance
 
 
 # --- 2 ---------------------------------------------------------------------------------------------------------------
@@ -182,6 +210,23 @@ def test_stretches(spark, posts, monkeypatch, paired):
     assert set(got) == want and len(got) == len(want) > 100
 
 
+@pytest.mark.parametrize("cells", [None, 1 << 8])
+def test_stretches_of_hot_names(spark, monkeypatch, cells):
+    """A passage in most texts, with names and windows in slices, and without a sketch."""
+    monkeypatch.setattr("millrace.runtime.HOT_ROWS", 20)
+    if cells:
+        monkeypatch.setattr(kernels, "CELLS", cells)
+        monkeypatch.setattr(kernels, "LOAD", 1)
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(900)]
+    line = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage = line(45)
+    texts = {f"p{i:03}": f"{line(rng.randint(0, 30))} {passage[rng.randint(0, 20) :]} {line(rng.randint(0, 30))}" for i in range(150)}
+    texts |= {f"q{i}": line(60) for i in range(20)} | {"r": texts["p001"]}
+    got = [tuple(r) for r in spans.shared_stretches(frame(spark, list(texts.items()))).collect()]
+    assert set(got) == brute_stretches(texts) and len(got) == len(set(got)) >= 150
+
+
 def test_stretch_cases(spark):
     rng = random.Random(1)
     words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(400)]
@@ -238,7 +283,6 @@ def test_copy_cases(spark, monkeypatch):
 
     monkeypatch.setattr(runtime, "HOT_ROWS", 10)
     many = frame(spark, [(f"p{i}", "The very same sentence stands in all of these many posts." + "!" * (i % 3)) for i in range(400)] + rows)
-    monkeypatch.setattr(copies, "hot_values", lambda c, k, n: runtime.hot_values(c, k, n, 10))
     assert copies.found_copies(many).count() == 399 + 3
 
 
@@ -501,10 +545,28 @@ def test_forms_take_the_script_that_is_frequent():
 
 
 def test_sketch_counts_every_value(spark):
-    df = spark.createDataFrame([(i % 50,) for i in range(1000)] + [(10**12,), (None,)], "h bigint")
-    sketch = kernels.column_sketch(df, "h")
+    df = spark.createDataFrame([(i % 50,) for i in range(1000)] + [(10**12,)], "h bigint")
+    hashes = lambda b: b.column(0).to_numpy().astype(np.int64).view(np.uint64)
+    sketch = kernels.count_sketch(df, hashes, 1 << 20)
     assert all(sketch[i] == 1 + math.floor(8 * math.log2(20)) for i in range(50))
-    assert sketch[10**12 % kernels.CELLS] == 1 and int((sketch > 0).sum()) == 51
+    assert sketch[10**12 % (1 << 20)] == 1 and int((sketch > 0).sum()) == 51
+
+
+def test_sketch_grows_with_the_data():
+    sizes = [kernels.sketch_cells(n) for n in (0, 10**5, 10**7, 10**9, 10**12)]
+    assert sizes == [kernels.FEWEST, 1 << 17, 1 << 24, 1 << 25, None]
+
+
+def test_hashes_of_structured_texts():
+    order = [0]
+    while len(order) < 4096:
+        order += [1 - x for x in order]  # sums of powers of any odd base agree modulo 2**64
+    words = [["ax", "bx"][x] for x in order], [["ax", "bx"][1 - x] for x in order]
+    key = kernels.Words([" ".join(w) for w in words] + ["".join("ab"[x] for x in order), "".join("ba"[x] for x in order)])
+    assert len({bytes(k) for k in key.sequence_key()}) == 4 and len(set(key.hash[-2:])) == 2
+    codes = np.frombuffer(("ab" * 100 + "x").encode("utf-32-le"), dtype=np.uint32)
+    h = kernels.field_hash(codes, np.array([0, 2, 1, 80, 81]), 120)
+    assert h[0] == h[1] == h[3] != h[2] and len(set(h)) == 3
 
 
 def test_words_are_runs_of_letters_and_digits():
@@ -512,7 +574,7 @@ def test_words_are_runs_of_letters_and_digits():
     words = kernels.Words(texts)
     assert list(words.count) == [5, 0, 5]
     key = words.sequence_key()
-    assert key[0] == key[2] != key[1]
+    assert (key[0] == key[2]).all() and (key[0] != key[1]).any()
     assert np.array_equal(words.letters, [7, 0, 7])
 
 
