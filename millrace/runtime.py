@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Most rows of a side that is broadcast, whatever the inputs' size.
 BROADCAST_ROWS = 100_000
+#: Most bytes that one task of a large shuffle should read.
+TASK_BYTES = 64 << 20
 #: A key value is hot when it has more rows than this; hot values are split over several tasks.
 HOT_ROWS = 50_000
 
@@ -110,14 +112,6 @@ def unstash(*frames: DataFrame) -> None:
             _delete_quietly(df.sparkSession, path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop shuffle files and broadcasts of finished stages now, not at some later garbage collection."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -127,6 +121,11 @@ def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def shuffle_tasks(spark: SparkSession, size: int) -> int:
+    """Partitions for a shuffle of about ``size`` bytes: as configured, and more where they would grow too large."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+
+
 def hot_values(counts: DataFrame, key: str, n: str, least: int | None = None) -> DataFrame | None:
     """(key, _slices): the hot key values with the number of slices each is cut into; None if there is none.
 
