@@ -1,13 +1,15 @@
 """Posts that are nearly the same: pairs with a Jaccard similarity of word shingles of at least a threshold.
 
 Method: pivot distance tables. The set of a text's shingles is a point of a Hamming space with one coordinate for each
-possible shingle. The reference fingerprints (pivots) are the empty fingerprint and ``PIVOTS`` fixed ones that hold the
-shingles whose hash has a certain bit set, that is, half of the space each. The distance of a text to the empty one is
-its size ``n``; to another pivot it is the pivot's size plus ``n - 2 * (shingles inside)``, so a table of the deviations
-of ``inside`` from ``n / 2`` is a table of distances, and by the triangle inequality the sizes' difference and twice the
-largest difference of two texts' deviations are at most their own distance. A pair of the wanted similarity has a
-distance of at most ``(1 - J) / (1 + J)`` times the sum of the sizes, so pairs with a larger coordinate difference are
-discarded without loss; nothing else discards a pair before the survivors are verified on their whole texts.
+possible shingle. That space is cut into ``PARTS`` parts by the shingles' hashes, and the reference fingerprints (pivots)
+are all unions of parts, the empty one included: 2 ** ``PARTS`` of them. The distance of a text to a pivot is the size of
+both less twice the text's shingles inside, so the number of shingles in each part gives the distances to all pivots;
+that is the table. By the triangle inequality a difference of two texts' coordinates is at most their own distance. The
+largest difference over all these pivots is found at the union of the parts in which the one text has more: it is the
+sum over the parts of the differences in number. Numbers are kept up to ``MOST``, which only makes differences smaller,
+in unary, so the sum is a count of unequal bits. A pair of the wanted similarity has a distance of at most
+``(1 - J) / (1 + J)`` times the sum of the sizes, so pairs with a larger coordinate difference are discarded without
+loss; nothing else discards a pair before the survivors are verified on their whole texts.
 
 A table of distances alone would have to be compared pair by pair. Pairs are therefore formed only where texts meet in
 their rarest shingles (prefix filtering, also without loss): two texts of the wanted similarity share one of the
@@ -45,13 +47,13 @@ from millrace.runtime import hot_values, salted_join, shuffle_tasks, stash, unst
 
 #: Words in a shingle, the least similarity as a fraction, and the least number of words of a text.
 SHINGLE, THRESHOLD, LEAST_WORDS = 3, (3, 5), 20
-#: Pivots beside the empty one, and how many of them a table column of 64 bits holds.
-PIVOTS, PACKED = 60, 10
-#: Bits of a deviation in the table, and the deviation stored as 0; further ones are stored as the outermost.
-BITS, ZERO = 64 // PACKED, -32
+#: Parts of the shingle space whose unions are the pivots, the most shingles that are told apart in a part, and the
+#: parts that a column of the table holds.
+PARTS, MOST = 96, 2
+HELD = 64 // MOST
 #: Occurrences from which shingles are used in pairs only.
 FREQUENT = 2048
-TABLE = [f"t{i}" for i in range(PIVOTS // PACKED)]
+TABLE = [f"t{i}" for i in range(PARTS // HELD)]
 SENT = "k bigint, c binary, n int, " + ", ".join(f"{t} bigint" for t in TABLE)
 
 
@@ -59,28 +61,13 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-#: The four bits of a number under 16 in lanes of 16 bits.
-LANES = np.array([sum((x >> i & 1) << 16 * i for i in range(4)) for x in range(16)], dtype=np.uint64)
-
-
-def _pivot_table(value: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
-    """Deviations from all pivots of the texts whose distinct shingles ``value`` stand one after the other."""
-    first = np.cumsum(size) - size
-    full = np.flatnonzero(size)
-    out = [np.zeros(len(size), dtype=np.uint64) for _ in TABLE]
-    if not len(full):
-        return out
-    wide = size[full].max() > 65535  # sums of so many don't fit into a lane
-    for p in range(0, PIVOTS, 4):
-        four = (value >> np.uint64(p)) & np.uint64(15)
-        lanes = None if wide else np.add.reduceat(LANES[four.astype(np.intp)], first[full])
-        for i in range(4):
-            bit = np.uint64(i)
-            inside = np.add.reduceat((four >> bit) & np.uint64(1), first[full]) if wide else (lanes >> np.uint64(16 * i)) & np.uint64(65535)
-            deviation = np.floor(inside - size[full] / 2) - ZERO
-            stored = np.clip(deviation, 0, (1 << BITS) - 1).astype(np.uint64)
-            out[(p + i) // PACKED][full] |= stored << np.uint64(BITS * ((p + i) % PACKED))
-    return out
+def _pivot_table(doc: np.ndarray, value: np.ndarray, texts: int) -> list[np.ndarray]:
+    """The table's columns for each text, from the distinct shingles ``value`` of the texts ``doc``."""
+    part = ((value >> np.uint64(32)) * np.uint64(PARTS)) >> np.uint64(32)
+    inside = np.bincount(doc * PARTS + part.astype(np.int64), minlength=texts * PARTS).reshape(texts, PARTS // HELD, 1, HELD)
+    unary = inside >= np.arange(1, MOST + 1).reshape(1, 1, MOST, 1)
+    packed = np.packbits(unary.reshape(texts, PARTS // HELD, 64), axis=2, bitorder="little").view(np.uint64)
+    return [packed[:, i, 0] for i in range(PARTS // HELD)]
 
 
 def _shingles_of(words: Words, setting: tuple, seen: set[bytes]) -> tuple:
@@ -102,7 +89,7 @@ def _prefixes(batch_texts: list[str], sketch: np.ndarray, seen: set[bytes], sett
     new = fresh(doc, value)
     doc, value, level = doc[new], value[new], level[new]
     size = np.bincount(doc, minlength=len(batch_texts))
-    table = _pivot_table(value, size)
+    table = _pivot_table(doc, value, len(size))
     place = np.arange(len(doc)) - (np.cumsum(size) - size)[doc]
     prefix = size - (-(-up * size // down)) + 1
     tiny = size * up <= down  # such texts can meet in one shingle alone, and only with each other
@@ -137,7 +124,7 @@ def _counted_prefixes(column: DataFrame, setting: tuple) -> DataFrame:
             sent = np.flatnonzero(size)
             offsets = np.concatenate([[0], np.cumsum(size[sent])]).astype(np.int32)
             sets = pa.ListArray.from_arrays(pa.array(offsets), _signed(value))
-            table = _pivot_table(value, size)
+            table = _pivot_table(doc, value, len(size))
             yield pa.RecordBatch.from_arrays([sets, binary16(key[sent]), pa.array(size[sent].astype(np.int32)), *[_signed(t[sent]) for t in table]], names=["s", "c", "n", *TABLE])
 
     sets = column.mapInArrow(run, "s array<bigint>, " + SENT.split(", ", 1)[1])
@@ -159,18 +146,12 @@ def _counted_prefixes(column: DataFrame, setting: tuple) -> DataFrame:
     return lists.select(F.explode(F.concat(rare, both)).alias("k"), "c", "n", *TABLE)
 
 
-def _coordinate(side: str, p: int) -> Column:
-    return F.shiftrightunsigned(F.col(TABLE[p // PACKED] + side), BITS * (p % PACKED)).bitwiseAND(F.lit((1 << BITS) - 1))
-
-
 def not_discarded(up: int, down: int) -> Column:
     """Whether no pivot's coordinates rule out the wanted similarity of the sides a and b."""
-    bound = (F.col("na") + F.col("nb")) * (down - up) / (down + up)
-    near = F.abs(F.col("na") - F.col("nb")) <= bound
-    for first in range(0, PIVOTS, PACKED):
-        far = F.greatest(*[F.abs(_coordinate("a", p) - _coordinate("b", p)) for p in range(first, first + PACKED)])
-        near = near & (2 * far - 2 <= bound)
-    return near
+    largest = F.lit(0)
+    for t in TABLE:
+        largest = largest + F.bit_count(F.col(t + "a").bitwiseXOR(F.col(t + "b")))
+    return largest <= (F.col("na") + F.col("nb")) * (down - up) / (down + up)
 
 
 def keyed_classes(posts: DataFrame, setting: tuple, text: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ import base64
 import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -170,13 +170,16 @@ def test_pivots_never_rule_out_a_near_pair():
         a = {rng.getrandbits(64) for _ in range(rng.randint(1, 80))}
         b = set(list(a)[: max(1, int(len(a) * rng.uniform(0.5, 1)))]) | {rng.getrandbits(64) for _ in range(rng.randint(0, 30))}
         distance = len(a ^ b)
-        assert abs(len(a) - len(b)) <= distance
-        table = near_copies._pivot_table(np.array([*a, *b], dtype=np.uint64), np.array([len(a), len(b)]))
-        for p in range(near_copies.PIVOTS):
-            stored = (table[p // near_copies.PACKED] >> np.uint64(near_copies.BITS * (p % near_copies.PACKED))) & np.uint64(63)
-            inside = [sum(x >> p & 1 for x in s) for s in (a, b)]
-            assert [int(x) for x in stored] == [max(0, min(63, math.floor(i - len(s) / 2) + 32)) for i, s in zip(inside, (a, b))]
-            assert 2 * abs(int(stored[0]) - int(stored[1])) - 2 <= distance
+        doc = np.array([0] * len(a) + [1] * len(b))
+        table = near_copies._pivot_table(doc, np.array([*a, *b], dtype=np.uint64), 2)
+        largest = sum(int(t[0] ^ t[1]).bit_count() for t in table)
+        parts = [Counter((x >> 32) * near_copies.PARTS >> 32 for x in s) for s in (a, b)]
+        numbers = [[min(c[i], near_copies.MOST) for i in range(near_copies.PARTS)] for c in parts]
+        assert largest == sum(abs(x - y) for x, y in zip(*numbers)) <= distance
+        whole = sum(abs(parts[0][i] - parts[1][i]) for i in range(near_copies.PARTS))
+        for pivot in ({i for i in range(near_copies.PARTS) if parts[0][i] > parts[1][i]}, set(), {1, 5, 7}):
+            inside = [sum(c[i] for i in pivot) for c in parts]
+            assert abs((len(a) - 2 * inside[0]) - (len(b) - 2 * inside[1])) <= whole <= distance
 
 
 # --- 2 ---------------------------------------------------------------------------------------------------------------
