@@ -17,7 +17,7 @@ from millrace.operators.normalise import normalise_posts
 from millrace.runtime import stash
 from millrace.sources.errors import DataError
 from millrace.sources.readers import read_records, read_settings
-from millrace.sources.writers import SPLITS, canonical_hash, file_hash, publish_layers
+from millrace.sources.writers import SPLITS, canonical_hash, publish_layers, rows_hash
 
 
 @dataclass
@@ -33,8 +33,10 @@ class BuildSettings:
     shingle: int = dedup.SHINGLE
     similarity: float = dedup.SIMILARITY
     mode: str = "exact"
+    permutations: int = dedup.PERMUTATIONS
+    bands: int = dedup.BANDS
     ratios: tuple[float, float, float] = (0.8, 0.1, 0.1)
-    system: str = "Write a short synthetic social post in the configured rhetorical style."
+    system: str = "Write one short post."
     context: str = "historical/general"
 
     @classmethod
@@ -43,8 +45,15 @@ class BuildSettings:
         raw = read_settings(path)
         for name in ("dataset", "dedup", "split", "prompt"):
             if not isinstance(raw.get(name), dict):
-                raise DataError(f"config section [{name}] is required")
+                raise DataError(f"the settings lack the section [{name}]")
         d, n, s, p = (raw[x] for x in ("dataset", "dedup", "split", "prompt"))
+        try:
+            return cls._of(d, n, s, p)
+        except (KeyError, TypeError, ValueError) as e:
+            raise DataError(f"the settings lack a key or have a wrong value: {e}") from e
+
+    @classmethod
+    def _of(cls, d: dict, n: dict, s: dict, p: dict) -> "BuildSettings":
         return cls(
             version=str(d["version"]),
             languages=list(d["allowed_languages"]),
@@ -56,6 +65,9 @@ class BuildSettings:
             cluster_cap=int(d["max_per_near_duplicate_cluster"]),
             shingle=int(n["ngram_size"]),
             similarity=float(n["similarity_threshold"]),
+            mode=str(n.get("mode", "exact")),
+            permutations=int(n.get("minhash_permutations", dedup.PERMUTATIONS)),
+            bands=int(n.get("minhash_bands", dedup.BANDS)),
             ratios=(float(s["train_ratio"]), float(s["validation_ratio"]), float(s["test_ratio"])),
             system=str(p["system"]),
             context=str(p["time_context"]),
@@ -83,10 +95,10 @@ def curate(records: DataFrame, settings: BuildSettings, version: str = "none") -
     split = temporal_split.grouped_temporal_split(chosen, "source_row", "created_at_utc", ["conversation_id", "near_dup_cluster_id"], s.ratios)
     curated = stash(chosen.join(split.select("source_row", "split"), "source_row"), "curated")
     if not temporal_split.leaking_groups(curated, ["conversation_id", "near_dup_cluster_id"]).isEmpty():
-        raise DataError("data leakage: a group is in more than one split")
+        raise DataError("a group of related posts was divided between splits")
     found = {r.split: r.n for r in curated.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     if sum(found.values()) >= 3 and set(found) != set(SPLITS):
-        raise DataError(f"expected all three splits, got: {found}")
+        raise DataError(f"a split is empty: {found}")
     body = [c for c in readable.columns if c != "source_row"]
     as_record = F.struct(*[F.col(c) for c in body])
     none = F.lit(None)
@@ -98,7 +110,8 @@ def curate(records: DataFrame, settings: BuildSettings, version: str = "none") -
 
 def _clusters(unique: DataFrame, s: BuildSettings) -> DataFrame:
     """(source_row, cluster_id, cluster_size, kept): clusters over rows, named by their posts' ids."""
-    pairs = (dedup.near_pairs if s.mode == "exact" else dedup.lsh_pairs)(unique, "source_row", "text_train", s.shingle, s.similarity)
+    sized = () if s.mode == "exact" else (s.permutations, s.bands)
+    pairs = (dedup.near_pairs if s.mode == "exact" else dedup.lsh_pairs)(unique, "source_row", "text_train", s.shingle, s.similarity, *sized)
     found = dedup.connected_components(pairs, "a", "b").withColumnRenamed("node", "source_row")
     rows = unique.select("source_row", "post_id", "created_at_utc").join(found, "source_row", "left")
     rows = rows.withColumn("c", F.coalesce("component", "source_row")).drop("component")
@@ -112,7 +125,7 @@ def build(spark: SparkSession, source: str, target: str, settings: BuildSettings
     """Read, curate and publish. Returns the manifest; its dataset_id depends on the input and the settings only."""
     records = read_records(spark, source)
     if records.isEmpty():
-        raise DataError("input contains no records")
+        raise DataError(f"no records in {source}")
     layers = curate(records, settings, version)
     curated = layers["curated"]
     sft = curated.select(*prompts.sft_record(settings.system, settings.context), "split", "created_at_utc", "post_id")
@@ -124,7 +137,7 @@ def build(spark: SparkSession, source: str, target: str, settings: BuildSettings
     }
     for name in SPLITS:
         out[f"curated/{name}"] = (sft.where(F.col("split") == name).select("prompt", "completion", "metadata"), ["metadata.created_at_utc", "metadata.post_id"])
-    identity = {"dataset_version": settings.version, "input_sha256": file_hash(spark, source), "config_sha256": canonical_hash(settings.__dict__), "approval": version}
+    identity = {"dataset_version": settings.version, "input_sha256": rows_hash(records, "source_row"), "config_sha256": canonical_hash(settings.__dict__), "approval": version}
     counts = {name: df.count() for name, df in layers.items()}
     splits = {r.split: r.n for r in curated.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     manifest = identity | {
@@ -139,7 +152,7 @@ def evaluate(generated: DataFrame, reference: DataFrame, training: DataFrame, *,
     """Report on generated texts: style distance, diversity, overlap with training texts, gate. No text is echoed."""
     for name, df in (("generated", generated), ("reference", reference)):
         if df.isEmpty():
-            raise DataError(f"{name} corpus is empty")
+            raise DataError(f"no {name} texts")
     profiles = {name: stylometry.corpus_profile(df, text) for name, df in (("candidate", generated), ("reference", reference))}
     distance = stylometry.profile_distance(profiles["candidate"], profiles["reference"])
     diversity = {f"distinct_{r.n}": r.ratio for r in stylometry.distinct_n(generated, (2, 3), text).collect()}

@@ -73,12 +73,14 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: ``spark.checkpoint.dir``, or where it is unset one of this session's own."""
+    """The shared folder for cut lineage: ``spark.checkpoint.dir``, or in local mode, where it may be unset, one of
+    this session's own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = getattr(spark, "_millrace_scratch", None)
         if not root:
-            # Reached only without the setting, as in tests on one machine.
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
             root = "file://" + tempfile.mkdtemp(prefix="millrace-")
             spark._millrace_scratch = root
             atexit.register(_delete_quietly, spark, root)

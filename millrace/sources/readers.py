@@ -2,8 +2,10 @@
 
 All give (source_ref, source_row, payload) with the record as the text of a JSON object. Line numbers are physical
 lines from 1 for JSON lines, records from 2 for CSV (the header is 1) and from 1 for JSON documents; a byte order mark
-is ignored. Lines are numbered where they are read: each input split counts its lines, and the counts of the splits
-before it are added, so no file passes through one task.
+is ignored. Lines are numbered in the JVM where they are read: each input split counts its lines, and the counts of the
+splits before it are added, so no file of lines passes through one task. A CSV file whose quoted fields may hold line
+breaks and a JSON document can't be cut before they are read: each file of those is one task, so large ones should come
+as several files or as JSON lines.
 
 Defined results: blank lines are skipped but counted; a line that is no JSON, and a record that is no object, is an
 error that names its row; an empty file gives an empty frame.
@@ -34,11 +36,21 @@ def read_settings(path: str) -> dict:
         raise DataError(f"settings {path}: {e}") from e
 
 
-def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(source_row, line) of a text file. Splits of one file are numbered in their order."""
-    lines = spark.read.text(path)
-    counted = lines.rdd.map(lambda r: r[0]).zipWithIndex()  # one count for each split, nothing is gathered
-    return spark.createDataFrame(counted.map(lambda x: (x[1] + 1, x[0])), "source_row bigint, line string")
+def _numbered(rows: DataFrame, first: int) -> DataFrame:
+    """``rows`` with ``source_row``: their number in the order of the file, from ``first``.
+
+    The id that Spark gives a row holds its partition, in the order of the file's splits, and its place there. One
+    count for each partition is all that reaches the driver.
+    """
+    marked = rows.withColumn("_id", F.monotonically_increasing_id())
+    split = F.shiftright("_id", 33).cast("int")
+    counts = {r[0]: r[1] for r in marked.groupBy(split.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    start, before = {}, 0
+    for s in sorted(counts):
+        start[s] = before
+        before += counts[s]
+    offset = F.element_at(F.create_map(*[F.lit(x) for kv in start.items() for x in kv]), split) if start else F.lit(0)
+    return marked.withColumn("source_row", (F.col("_id") - F.shiftleft(split.cast("bigint"), 33) + offset + first).cast("bigint")).drop("_id")
 
 
 def _checked(df: DataFrame, what: str) -> DataFrame:
@@ -59,7 +71,7 @@ def _is_object(text) -> "F.Column":
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    lines = _numbered_lines(spark, path).withColumn("payload", F.regexp_replace("line", r"^\x{feff}", ""))
+    lines = _numbered(spark.read.text(path), 1).withColumn("payload", F.regexp_replace("value", r"^\x{feff}", ""))
     lines = lines.where(F.rlike("payload", F.lit(r"[^\s\p{Z}]"))).withColumn("ok", _is_object(F.col("payload")))
     return _with_ref(_checked(lines, "line"), path)
 
@@ -69,9 +81,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", None).csv(path)
     rows = rows.toDF(*[c.lstrip("﻿") for c in rows.columns]).fillna("")
     names = rows.columns
-    counted = rows.rdd.zipWithIndex().map(lambda x: (x[1] + 2, *x[0]))
-    schema = "source_row bigint, " + ", ".join(f"`{c}` string" for c in names)
-    rows = spark.createDataFrame(counted, schema)
+    rows = _numbered(rows, 2)
     return _with_ref(rows.select("source_row", F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])).alias("payload")), path)
 
 
@@ -82,7 +92,7 @@ def read_json_document(spark: SparkSession, path: str) -> DataFrame:
     root = F.when(F.schema_of_variant("v").startswith("ARRAY"), F.col("v")).otherwise(F.coalesce(*inside))
     found = whole.select(root.alias("v"))
     if found.where("v is null").limit(1).count():
-        raise DataError("JSON input must be a list or hold one under " + "/".join(WRAPPERS))
+        raise DataError("no list of records at the top or under " + "/".join(WRAPPERS))
     each = found.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
     each = each.select((F.col("pos") + 1).alias("source_row"), F.to_json("value").alias("payload"), F.schema_of_variant("value").startswith("OBJECT").alias("ok"))
     return _with_ref(_checked(each, "record"), path)
@@ -95,11 +105,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Reader by the file's extension."""
     suffix = PurePosixPath(path.split("://")[-1]).suffix.lower()
     if suffix not in READERS:
-        raise DataError(f"unsupported input extension: {suffix or '<none>'}")
+        raise DataError(f"no reader for files ending in {suffix or 'nothing'}")
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
-        raise DataError(f"input file does not exist: {path}")
+        raise DataError(f"nothing to read at {path}")
     return READERS[suffix](spark, path)
 
 

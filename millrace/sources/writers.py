@@ -8,14 +8,18 @@ from __future__ import annotations
 
 import hashlib
 import json
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.runtime import stash
 from millrace.sources.errors import DataError
 
 SPLITS = ("train", "validation", "test")
+#: Hashes that are hashed together, files copied at a time, and the bytes from which a file isn't read as one row.
+FAN, COPIES, ROW_BYTES = 65_536, 16, 1 << 30
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,12 +33,12 @@ def as_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_json_lines(df: DataFrame, path: str, order: list[str], single: bool = True) -> None:
-    """JSON lines in ``order``. ``single`` gives one file, for small layers that are compared byte by byte; without it
-    files are written in parallel, each a range of the order."""
+def write_json_lines(df: DataFrame, path: str, order: list[str], single: bool = False) -> None:
+    """JSON lines in ``order``: files written in parallel, each a range of the order. ``single`` gives one file, through
+    one task, for small results that are read by hand."""
     fs, target = _fs(df.sparkSession, path)
     if fs.exists(target):
-        raise DataError(f"refusing to overwrite existing artifact: {path}")
+        raise DataError(f"there is something at {path} already")
     ordered = df.orderBy(*order)
     rows = as_json(ordered)
     (rows.coalesce(1) if single else rows).write.mode("errorifexists").text(path)
@@ -44,7 +48,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file in one go: written beside its place, then renamed."""
     fs, target = _fs(spark, path)
     if fs.exists(target):
-        raise DataError(f"refusing to overwrite existing artifact: {path}")
+        raise DataError(f"there is something at {path} already")
     temporary = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     out = fs.create(temporary, True)
     out.write(bytearray(text.encode("utf-8")))
@@ -73,20 +77,38 @@ def file_hash(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def rows_hash(df: DataFrame, order: str) -> str:
+    """SHA-256 tree over all rows by their unique number ``order``, computed in tasks: rows are hashed, then the hashes
+    of each ``FAN`` neighbours in their order, until one level fits one call."""
+    fields = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
+    level = df.select(F.col(order).cast("bigint").alias("i"), F.sha2(fields, 256).alias("h"))
+    while True:
+        groups = level.groupBy(F.floor(F.col("i") / FAN).alias("i")).agg(F.array_sort(F.collect_list(F.struct("i", "h"))).alias("l"))
+        level = stash(groups.select("i", F.sha2(F.array_join(F.transform("l", lambda x: x["h"]), ""), 256).alias("h")), "hashes")
+        if level.count() <= FAN:
+            break
+    return hashlib.sha256("".join(r.h for r in level.orderBy("i").collect()).encode()).hexdigest()
+
+
 def artifact_hashes(spark: SparkSession, root: str) -> dict[str, str]:
-    """SHA-256 of every file under ``root`` but manifests and markers, by relative path; files are hashed in parallel."""
+    """SHA-256 of every file under ``root`` but manifests and markers, by relative path; files are hashed in parallel.
+
+    A file too large for one row is read by the driver as a stream.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    rows = files.select("path", F.sha2("content", 256).alias("h")).collect()  # a row for each file that was written
+    rows = files.where(F.col("length") < ROW_BYTES).select("path", F.sha2("content", 256).alias("h")).collect()  # a row for each file
+    hashes = {r.path: r.h for r in rows}
+    hashes |= {r.path: file_hash(spark, r.path) for r in files.where(F.col("length") >= ROW_BYTES).select("path").collect()}
     base = root.split("://")[-1].removeprefix("file:").rstrip("/")
-    out = {r.path.split(base, 1)[-1].lstrip("/"): r.h for r in rows}
+    out = {path.split(base, 1)[-1].lstrip("/"): h for path, h in hashes.items()}
     return {k: v for k, v in sorted(out.items()) if k.rsplit("/", 1)[-1][0] not in "._" and not k.endswith("manifest.json")}
 
 
-def publish_layers(spark: SparkSession, target: str, layers: dict[str, tuple[DataFrame, list[str]]], manifest: dict, single: bool = True) -> dict:
+def publish_layers(spark: SparkSession, target: str, layers: dict[str, tuple[DataFrame, list[str]]], manifest: dict, single: bool = False) -> dict:
     """Write all layers (name -> frame and order) beside ``target``, the manifest last, then rename the folder."""
     fs, place = _fs(spark, target)
     if fs.exists(place):
-        raise DataError(f"output path must not already exist: {target}")
+        raise DataError(f"there is something at {target} already")
     staging = target.rstrip("/") + ".staging"
     stage_fs, stage = _fs(spark, staging)
     stage_fs.delete(stage, True)
@@ -109,16 +131,22 @@ def write_splits(df: DataFrame, root: str, order: list[str], split: str = "split
 
 
 def parse_store_uri(uri: str, schemes: tuple[str, ...] = ("s3", "s3a", "file", "hdfs")) -> tuple[str, str, str]:
-    """(scheme, bucket or host, prefix) of a target; an error for anything else."""
+    """(scheme, bucket or host, prefix) of a target; an error for anything else, also for a prefix that is empty or has
+    empty, ``.`` or ``..`` segments."""
     parts = urlparse(uri)
-    if parts.scheme not in schemes or (parts.scheme.startswith("s3") and not parts.netloc):
+    segments = parts.path.strip("/").split("/")
+    if parts.scheme not in schemes or (parts.scheme.startswith("s3") and not parts.netloc) or {"", ".", ".."} & set(segments):
         raise DataError(f"not a supported target: {uri}")
     return parts.scheme, parts.netloc, parts.path.strip("/")
 
 
 def copy_publication(spark: SparkSession, source: str, target: str) -> list[str]:
-    """Copy a published folder to an empty prefix of another store, the manifest last. Returns the copied paths."""
-    parse_store_uri(target)
+    """Copy a published folder to an empty prefix of another store, the manifest last. Returns the copied paths.
+
+    Object stores are asked to encrypt what is written. ``COPIES`` files are under way at a time.
+    """
+    if parse_store_uri(target)[0].startswith("s3"):
+        spark.sparkContext._jsc.hadoopConfiguration().set("fs.s3a.encryption.algorithm", "AES256")
     src_fs, src = _fs(spark, source)
     dst_fs, dst = _fs(spark, target)
     if dst_fs.exists(dst) and len(dst_fs.listStatus(dst)):
@@ -133,8 +161,13 @@ def copy_publication(spark: SparkSession, source: str, target: str) -> list[str]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
-    for name in names:
+
+    def copy(name: str) -> None:
         jvm.org.apache.hadoop.fs.FileUtil.copy(src_fs, path(f"{source}/{name}"), dst_fs, path(f"{target}/{name}"), False, conf)
+
+    with ThreadPoolExecutor(COPIES) as pool:
+        list(pool.map(copy, names[:-1]))
+    copy(names[-1])
     return names
 
 

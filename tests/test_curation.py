@@ -110,6 +110,54 @@ def test_the_first_key_that_is_there_wins(spark):
     assert got == {f"r{i}": w for i, w in enumerate(want)}
 
 
+def test_numbers_over_several_splits(spark, tmp_path):
+    from millrace.sources.writers import rows_hash, write_csv
+
+    (tmp_path / "a.jsonl").write_text("".join(json.dumps({"n": i, "x": "y" * (i % 90)}) + "\n" * (1 + i % 2) for i in range(3000)), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        records = read_records(spark, str(tmp_path / "a.jsonl"))
+        rows = {json.loads(r.payload)["n"]: r.source_row for r in records.collect()}
+        assert records.rdd.getNumPartitions() > 4 and rows == {i: 1 + i + i // 2 for i in range(3000)}
+        assert rows_hash(records, "source_row") == rows_hash(records.repartition(7), "source_row") != rows_hash(records.where("source_row > 1"), "source_row")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    write_csv(records.select("source_row"), str(tmp_path / "rows"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "rows")).count() == 3000
+
+
+def test_settings(tmp_path):
+    good = '''[dataset]
+version = "1"
+allowed_languages = ["en"]
+min_text_chars = 5
+exclude_reference_types = []
+replace_urls = true
+replace_mentions = true
+max_per_near_duplicate_cluster = 2
+[dedup]
+ngram_size = 3
+similarity_threshold = 0.8
+mode = "lsh"
+minhash_permutations = 32
+minhash_bands = 8
+[split]
+train_ratio = 0.8
+validation_ratio = 0.1
+test_ratio = 0.1
+[prompt]
+system = "s"
+time_context = "t"
+'''
+    (tmp_path / "a.toml").write_text(good)
+    made = BuildSettings.from_toml(str(tmp_path / "a.toml"))
+    assert (made.mode, made.permutations, made.bands, made.cluster_cap) == ("lsh", 32, 8, 2)
+    for bad in (good.replace("ngram_size", "other"), good.replace("[split]", "[cut]"), good.replace("= 5", '= "x"'), "["):
+        (tmp_path / "b.toml").write_text(bad)
+        with pytest.raises(DataError):
+            BuildSettings.from_toml(str(tmp_path / "b.toml"))
+
+
 def test_times(spark):
     df = spark.createDataFrame([("2024-01-01T00:00:00.5Z",), ("2024-01-01 01:00:00+0100",), ("20240101T000000Z",), ("2024-01-01",), ("2024-02-30",), (None,)], "s string")
     got = [r[0] for r in df.select(render_time(parse_time(df.s))).collect()]
@@ -274,10 +322,10 @@ def test_filters_and_metrics_on_nothing(spark):
     assert row.select(filters.reject_reason().alias("r")).collect()[0].r == "text_too_short"
 
 
-@given(st.sampled_from(["s3://b/p", "s3a://b", "file:///x"]))
+@given(st.sampled_from(["s3://b/p", "s3a://b/p/q/", "file:///x"]))
 def test_store_uri(uri):
     assert parse_store_uri(uri)[0] in ("s3", "s3a", "file")
-    for bad in ("http://x", "s3://", "plain/path"):
+    for bad in ("http://x", "s3://", "plain/path", "s3://b", "s3://b/", "s3://b/a/../c", "s3://b/./c", "s3a://b/a//c"):
         with pytest.raises(DataError):
             parse_store_uri(bad)
 
