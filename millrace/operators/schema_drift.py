@@ -1,8 +1,9 @@
 """Schemas that drift between the files of a stream.
 
-``profile_fields`` reduces every file to one row per spelled key: JSON types seen, a min-hash sketch of the values
-and the mean length of a value. ``match_versions`` compares a file with the one before it by a maximum-weight bipartite
-matching of all their keys, on sketches, types and name similarity. A field that the alias table (case and underscores
+``profile_fields`` reduces every file to one row per spelled key: JSON types seen, min-hash sketches of the values and of
+their shapes (what kinds of characters stand where), the mean length of a value and the number of records with the key.
+``match_versions`` compares a file with the one before it by a maximum-weight bipartite matching of all their keys, on
+sketches, types, name similarity and how many records have the key. A field that the alias table (case and underscores
 ignored) knows in both files has the highest score; one known in one file only can be matched with any other key.
 ``unify_posts`` reads every payload into one table.
 
@@ -25,13 +26,15 @@ from millrace.runtime import bounded_broadcast, stash
 
 #: Hash functions in a value sketch, and the least score at which unknown keys count as one renamed key.
 SKETCH, RENAME_SCORE = 8, 0.55
+#: Weights of values, shapes, types, names, lengths and shares of the records in a score.
+WEIGHTS = (0.15, 0.3, 0.1, 0.2, 0.1, 0.15)
 #: Files of a stream that are compared in one group.
 FILES = 64
 MARKS = "^[\\x{feff}\\s]+"
 
 PROFILE = (
     "stream_id string, file_no int, spelling string, field_name string, n bigint, types array<string>, "
-    "sketch array<bigint>, mean_length double"
+    "sketch array<bigint>, shapes array<bigint>, mean_length double"
 )
 CHANGES = (
     "stream_id string, file_no int, field_name string, change_kind string, before string, after string, evidence string"
@@ -52,7 +55,9 @@ class Node(NamedTuple):
     spelled: set[str]
     types: set[str]
     sketch: list
+    shapes: list
     mean_length: float
+    share: float
 
 
 def canonical_key(key: Column) -> Column:
@@ -78,6 +83,15 @@ def json_kind(schema: Column) -> Column:
     return F.when(F.rlike(schema, F.lit("^ARRAY")), F.concat(F.lit("array of "), word(inner), F.lit("s"))).otherwise(word(schema))
 
 
+def value_shape(value: Column) -> Column:
+    """The kinds of characters of a JSON value without its quotes: 9 for a digit, a for a run of letters, and one shape
+    for everything that has four words in a row. Empty lists and objects have none."""
+    shape = F.regexp_replace(F.regexp_replace(value, r'^"|"$', ""), r"\p{L}+", "a")
+    shape = F.regexp_replace(shape, r"\p{N}", "9")
+    shape = F.when(F.rlike(shape, F.lit(r"a[ ,;]+a[ ,;]+a[ ,;]+a")), "text").otherwise(shape)
+    return F.when(~value.isin("[]", "{}", '""'), shape)
+
+
 def aliases_frame(aliases: DataFrame) -> DataFrame:
     """One row for each known key in its canonical spelling."""
     known = aliases.select(canonical_key(F.col("alias_name")).alias("_canon"), "field_name").where("_canon is not null")
@@ -95,11 +109,13 @@ def profile_fields(records: DataFrame, aliases: DataFrame) -> DataFrame:
         json_kind(F.schema_of_variant("value")).alias("_type"),
         F.when(F.schema_of_variant("value") != "VOID", F.to_json("value")).alias("_value"),
     )
-    sketch = [F.min(F.xxhash64(F.lit(i), "_value")) for i in range(SKETCH)]
+    each = each.withColumn("_shape", value_shape(F.col("_value")))
+    sketch, shapes = ([F.min(F.xxhash64(F.lit(i), c)) for i in range(SKETCH)] for c in ("_value", "_shape"))
     out = each.groupBy("stream_id", "file_no", "spelling").agg(
         F.count(F.lit(1)).alias("n"),
         F.array_sort(F.collect_set("_type")).alias("types"),
         F.array(*sketch).alias("sketch"),
+        F.array(*shapes).alias("shapes"),
         F.avg(F.length("_value")).alias("mean_length"),
     )
     out = out.withColumn("_canon", canonical_key(F.col("spelling")))
@@ -121,30 +137,39 @@ def _nodes(rows: list) -> list[Node]:
         field = r.field_name if isinstance(r.field_name, str) else None
         grouped[field, "" if field else r.spelling].append(r)
     out = []
+    most = max(r.n for r in rows)  # about the number of records
     for (field, _), group in sorted(grouped.items(), key=lambda kv: (kv[0][0] is None, kv[0][0] or kv[0][1])):
         # The sketch of several spellings is the least of each coordinate; their length is the mean over records.
-        sketch = [min((v for v in coordinate if v is not None and v == v), default=None) for coordinate in zip(*(r.sketch for r in group))]
+        least = lambda lists: [min((v for v in x if v is not None and v == v), default=None) for x in zip(*lists)]
+        sketch, shapes = least(r.sketch for r in group), least(r.shapes for r in group)
         sized = [(r.n, r.mean_length) for r in group if r.mean_length is not None and r.mean_length == r.mean_length]
         length = sum(n * x for n, x in sized) / max(1, sum(n for n, _ in sized))
         spelled = {r.spelling for r in group}
-        out.append(Node(field, min(spelled), spelled, {t for r in group for t in r.types}, sketch, length))
+        out.append(Node(field, min(spelled), spelled, {t for r in group for t in r.types}, sketch, shapes, length, min(1.0, sum(r.n for r in group) / most)))
     return out
 
 
 def _score(a: Node, b: Node) -> float:
-    """How much two nodes look like one: the same field or key, or else equal sketch coordinates, shared types, names
-    and value lengths. Two different fields of the alias table never match."""
+    """How much two nodes look like one: the same field or key, or else equal sketch coordinates of values and shapes,
+    shared types, names, value lengths and shares of the records. Two different fields of the alias table never match."""
     if a.field and b.field:
         return SAME if a.field == b.field else 0.0
     if a.field is b.field and a.spelling == b.spelling:
         return SAME
-    pairs = [(x, y) for x, y in zip(a.sketch, b.sketch) if x is not None and y is not None]
-    values = sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
     kinds = len(a.types & b.types) / max(1, len(a.types | b.types))
-    la, lb = a.mean_length, b.mean_length
-    lengths = min(la, lb) / max(la, lb) if max(la, lb) > 0 else 0.0
+    lengths = _ratio(a.mean_length, b.mean_length)
     names = max(_name_similarity(x, y) for x in a.spelled | {a.field or a.spelling} for y in b.spelled | {b.field or b.spelling})
-    return 0.35 * values + 0.15 * kinds + 0.4 * names + 0.1 * lengths
+    parts = (_equal(a.sketch, b.sketch), _equal(a.shapes, b.shapes), kinds, names, lengths, _ratio(a.share, b.share))
+    return sum(w * x for w, x in zip(WEIGHTS, parts))
+
+
+def _ratio(a: float, b: float) -> float:
+    return min(a, b) / max(a, b) if max(a, b) > 0 else 0.0
+
+
+def _equal(a: list, b: list) -> float:
+    pairs = [(x, y) for x, y in zip(a, b) if x is not None and y is not None]
+    return sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
 
 
 def best_matching(weights: list[list[float]], least: float) -> list[tuple[int, int]]:

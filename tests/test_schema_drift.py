@@ -119,3 +119,19 @@ def test_matching_is_optimal(weights):
     best = max(value(list(enumerate(p[: len(w)]))) for p in permutations(range(3)))
     assert abs(value(got) - best) < 1e-9
     assert len({i for i, _ in got}) == len(got) == len({j for _, j in got})
+
+
+def test_renames_with_half_of_the_names_unknown(spark):
+    """Renames that the alias table doesn't tell, because one of the spellings is missing there."""
+    records, aliases = (table(spark, "/root/testdata/sf0.1", n) for n in ("raw_records", "field_aliases"))
+    gone = ["tweet_id", "id", "full_text", "thread_id", "referenced_tweets", "favorite_count", "language", "username", "user_id", "timestamp", "date", "in_reply_to_status_id_str", "entities_json"]
+    less = aliases.where(~aliases.alias_name.isin(gone))
+    plain = lambda k: k.lower().replace("_", "")
+    known = {plain(r.alias_name) for r in less.collect()}
+    want = set()
+    for r in match_versions(records, aliases).where("change_kind = 'renamed'").collect():
+        if len({plain(r.before) in known, plain(r.after) in known}) == 2:
+            want.add((r.stream_id, r.file_no, r.field_name))
+    everything = {tuple(r)[:3] for r in found_changes(records, aliases).where("change_kind = 'renamed'").collect()}
+    got = {tuple(r)[:3] for r in found_changes(records, less).where("change_kind = 'renamed'").collect()}
+    assert len(want) > 30 and len(want & got) >= 0.8 * len(want) and got <= everything
