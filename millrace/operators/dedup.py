@@ -60,20 +60,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 def near_pairs(df: DataFrame, key: str, text: str = "text", n: int = SHINGLE, threshold: float = SIMILARITY) -> DataFrame:
     """(a, b, shared, either) with a < b for every two rows of Jaccard similarity ``threshold`` or more."""
+    return _near_pairs(stash(_hashed(df, key, text, n), "shingles"), threshold)
+
+
+def _near_pairs(sets: DataFrame, threshold: float) -> DataFrame:
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
-    sets = stash(_hashed(df, key, text, n), "shingles")
     each = sets.select("k", F.size("s").alias("n"), F.explode("s").alias("h"))
-    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
+    often = stash(each.groupBy("h").agg(F.count(F.lit(1)).alias("d")).where("d > 1"), "often")
+    hot = hot_values(often, "h", "d")
     # Shingles of one text only can't be shared; their number still counts for the place in the order.
-    met = each.join(often, "h")
+    met = salted_join(each, often, "h", "k", hot)
     alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("k"))
     place = F.row_number().over(Window.partitionBy("k").orderBy("d", "h")) + alone
     prefix = met.withColumn("_p", place).where(F.col("_p") <= F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - 1e-9) + 1)
     a = prefix.select("h", F.col("k").alias("a"), F.col("n").alias("na"))
     b = prefix.select("h", F.col("k").alias("b"), F.col("n").alias("nb"))
     sized = F.least("na", "nb") >= F.lit(threshold) * F.greatest("na", "nb") - 1e-9
-    pairs = a.join(b, "h").where((F.col("a") < F.col("b")) & sized).select("a", "b").distinct()
+    pairs = salted_join(a, b, "h", "a", hot).where((F.col("a") < F.col("b")) & sized).select("a", "b").distinct()
     return _verified(pairs, sets, threshold)
 
 
@@ -95,9 +99,12 @@ def lsh_pairs(
 
     A pair of similarity J is met with probability 1 - (1 - J ** r) ** bands, r the rows of a band.
     """
+    return _lsh_pairs(stash(_hashed(df, key, text, n), "shingles"), threshold, permutations, bands)
+
+
+def _lsh_pairs(sets: DataFrame, threshold: float, permutations: int = PERMUTATIONS, bands: int = BANDS) -> DataFrame:
     if permutations <= 0 or bands <= 0 or permutations % bands:
         raise ValueError("permutations must be positive and divisible by bands")
-    sets = stash(_hashed(df, key, text, n), "shingles")
     rows = permutations // bands
     signed = sets.select("k", minhash(F.col("s"), permutations).alias("m"))
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.slice("m", i * rows + 1, rows))))
@@ -109,11 +116,17 @@ def lsh_pairs(
 def near_clusters(df: DataFrame, key: str, text: str = "text", n: int = SHINGLE, threshold: float = SIMILARITY, mode: str = "exact") -> DataFrame:
     """(key, cluster_id, cluster_size) for every row with a text: single-linkage clusters of near pairs.
 
-    The id is the start of the SHA-256 of the sorted members' keys.
+    The id is the start of the SHA-256 of the sorted members' keys. Rows with the same shingles are one from the start;
+    only the first of them is compared with others.
     """
-    pairs = (near_pairs if mode == "exact" else lsh_pairs)(df, key, text, n, threshold)
-    found = connected_components(pairs, "a", "b").withColumnRenamed("node", "k")
-    rows = df.where(F.col(text).isNotNull()).select(F.col(key).alias("k")).distinct()
+    same = F.unhex(F.md5(F.array_join(F.transform("s", lambda h: h.cast("string")), ",")))
+    sets = stash(_hashed(df, key, text, n).withColumn("f", same), "shingles")
+    firsts = stash(sets.groupBy("f").agg(F.min("k").alias("first"), F.count(F.lit(1)).alias("m"), F.first("s").alias("s")), "firsts")
+    pairs = (_near_pairs if mode == "exact" else _lsh_pairs)(firsts.select(F.col("first").alias("k"), "s"), threshold)
+    alike = salted_join(sets.select("k", "f"), firsts.where("m > 1").select("f", "first"), "f", "k", hot_values(firsts, "f", "m"))
+    edges = pairs.select("a", "b").unionByName(alike.where("k <> first").select(F.col("first").alias("a"), F.col("k").alias("b")))
+    found = connected_components(edges, "a", "b").withColumnRenamed("node", "k")
+    rows = sets.select("k").distinct()
     rows = rows.join(found, "k", "left").select("k", F.coalesce("component", "k").alias("c"))
     names = rows.groupBy("c").agg(
         F.array_sort(F.collect_list(F.col("k").cast("string"))).alias("ids"), F.count(F.lit(1)).alias("cluster_size")
