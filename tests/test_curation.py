@@ -274,6 +274,23 @@ def test_overlap_against_brute_force(spark):
         assert got[i] == want, (t, got[i], want)
 
 
+def test_only_the_longest_shared_grams_are_paired(spark, monkeypatch):
+    made = {}
+
+    def record(df, name, write=overlap.stash):
+        out = write(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(overlap, "stash", record)
+    common = "one two three four five"
+    gen = spark.createDataFrame([(i, f"{common} w{i} g{i}") for i in range(20)], "idx bigint, text string")
+    train = spark.createDataFrame([(i, f"t{i} {common} w{i} u{i}") for i in range(20)], "idx bigint, text string")
+    got = {r.gen: (r.train, r.span) for r in overlap.find_best_matches(gen, train, "idx", "idx").collect()}
+    assert got == {i: (i, 6) for i in range(20)}
+    assert made["pairs"] == 20  # all 400 share the common five
+
+
 def test_evaluate_and_guard(spark):
     text = "The lighthouse keeper counted every boat twice before the storm came in."
     one = spark.createDataFrame([(0, text)], "idx bigint, text string")
