@@ -274,6 +274,35 @@ def test_overlap_against_brute_force(spark):
         assert got[i] == want, (t, got[i], want)
 
 
+def test_candidates_are_finished_where_they_meet(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(overlap, "TEXTS", 7)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(("ab", "ba", "cd", "!")) for _ in range(rng.choice([0, 1, 2, 4, 5, 9, 14, 60]))) for _ in range(80)] + ["ab " * 30, None, "", "?!", "ab ba cd"]
+    gen = spark.createDataFrame([*enumerate(texts[:45] + texts[80:])], "idx bigint, text string").repartition(2)
+    train = spark.createDataFrame([(f"t{j}", t) for j, t in enumerate(texts[30:])], "idx string, text string").repartition(2)
+    out = overlap.overlap_candidates(gen, train, "idx", "idx")
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()  # the hits of all pairs would be on disk
+    rows = out.collect()
+    got = {(r.gen, r.train): (r.exact, r.span, r.shared, round(r.jaccard, 9)) for r in rows}
+    assert len(got) == len(rows)
+
+    def grams(w):
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+    want = {}
+    for i, t in enumerate(texts[:45] + texts[80:]):
+        for j, u in enumerate(texts[30:]):
+            if t is None or u is None:
+                continue
+            t_, u_ = t.split(), u.split()
+            a, b = grams(t_), grams(u_)
+            if a & b or t_ == u_:
+                want[i, f"t{j}"] = (t_ == u_, longest_run(t_, u_), len(a & b), round(len(a & b) / len(a | b) if a | b else 1.0, 9))
+    assert got == want
+
+
 def test_only_the_longest_shared_grams_are_paired(spark, monkeypatch):
     made = {}
 
